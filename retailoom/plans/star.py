@@ -1,176 +1,168 @@
-"""The star schema over a set of raw tables, as lazy DataFrames that are built when first asked for."""
+"""Which table is made from which: the dependency graph of the warehouse, as DataFrame plans."""
 
-from collections.abc import Mapping
-from functools import cached_property
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailoom import config
-from retailoom.operators import dims, facts, quality, reports, rollups, sales, summaries
+from retailoom.operators import derive, dims, facts, quality, reports, rollups, sales, summaries
 
 
-def lookup_side(dimension: DataFrame, source: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast if the table it is made from was counted and is small enough.
+def lookup_side(dimension: DataFrame, rows: int, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark a dimension for broadcast if its counted ``rows`` are few enough.
 
     A larger one is joined by shuffle, where adaptive execution splits hot keys.
     """
-    return F.broadcast(dimension) if source.count() <= max_rows else dimension
-
-
-class Star:
-    """Dimensions, facts, rollups and reports over raw tables ``raw`` (name -> DataFrame)."""
+    return F.broadcast(dimension) if rows <= max_rows else dimension
+
+
+DIMENSIONS: dict[str, Callable[["Star"], DataFrame]] = {
+    "dim_date": lambda s: dims.dim_date_of(s["ods_orders"], "order_time"),
+    "dim_user": lambda s: dims.dim_user(s["ods_users"], s.earlier("dim_user")),
+    "dim_product": lambda s: dims.dim_product(s["ods_products"], s.earlier("dim_product")),
+    "dim_store": lambda s: dims.dim_store(s["ods_stores"], s.earlier("dim_store")),
+}
+
+# raw table whose rows bound those of a dimension
+DIMENSION_SOURCE = {"dim_user": "ods_users", "dim_product": "ods_products", "dim_store": "ods_stores"}
+
+FACTS: dict[str, Callable[["Star"], DataFrame]] = {
+    "fact_order": lambda s: facts.fact_order(s["ods_orders"], s["dim_user"], s["dim_store"]),
+    "fact_order_detail": lambda s: facts.fact_order_detail(s["ods_order_details"], s["fact_order"], s["dim_product"]),
+    "fact_promotion": lambda s: facts.fact_promotion(s["ods_promotion"], s["dim_store"], s["dim_product"]),
+    "fact_traffic": lambda s: facts.fact_traffic(s["ods_traffic"], s["dim_store"]),
+    "fact_inventory": lambda s: facts.fact_inventory(s["ods_inventory"], s["dim_product"], s["dim_store"]),
+    "sales": lambda s: sales.completed_sales(s["fact_order_detail"]),
+}
+
+# tables with a date_key, made date by date
+DAILY: dict[str, Callable[["Star"], DataFrame]] = {
+    "trade_order_1d": lambda s: rollups.trade_order_1d(s["fact_order"]),
+    "trade_product_1d": lambda s: rollups.trade_product_1d(s["sales"]),
+    "store_daily": lambda s: rollups.store_daily(s["fact_order"]),
+    "promotion_daily": lambda s: rollups.promotion_daily(s["fact_promotion"]),
+    "traffic_daily": lambda s: rollups.traffic_daily(s["fact_traffic"], s["fact_order"]),
+    "sales_daily": lambda s: summaries.sales_daily(s["fact_order"]),
+    "product_daily": lambda s: summaries.product_daily(s["sales"]),
+    "category_daily": lambda s: summaries.category_daily(s["sales"], s["dim_product"]),
+    "user_daily": lambda s: summaries.user_daily(s["fact_order"]),
+    "sales_summary": lambda s: summaries.sales_summary(s["fact_order_detail"], s["dim_store"], s["dim_product"]),
+    "promotion_summary": lambda s: summaries.promotion_summary(s["fact_promotion"], s["sales"], s["dim_product"]),
+    "traffic_summary": lambda s: summaries.traffic_summary(s["fact_traffic"], s["fact_order"], s["dim_store"]),
+}
+
+TOTALS: dict[str, Callable[["Star"], DataFrame]] = {
+    "dim_category": lambda s: dims.dim_category(s["dim_product"]),
+    "store_total": lambda s: rollups.store_total(s["fact_order"], s["dim_store"]),
+    "product_total": lambda s: rollups.product_total(s["sales"], s["dim_product"]),
+    "category_total": lambda s: rollups.category_total(s["sales"], s["dim_product"]),
+    "user_total": lambda s: rollups.user_total(s["fact_order"], s["dim_user"]),
+    "sales_monthly": lambda s: summaries.sales_monthly(s["fact_order"]),
+    "promotion_product": lambda s: summaries.promotion_product(s["fact_promotion"], s["sales"]),
+    "inventory_summary": lambda s: summaries.inventory_summary(s["ods_inventory"], s["ods_products"]),
+}
+
+REPORTS: dict[str, Callable[["Star"], DataFrame]] = {
+    "daily_report": lambda s: reports.daily_report(
+        s["sales"], s["fact_promotion"], s["dim_date"], s["dim_store"], s["dim_product"]
+    ),
+    "platform_summary": lambda s: reports.platform_summary(s["daily_report"]),
+    "store_ranking": lambda s: reports.store_ranking(s["daily_report"]),
+    "traffic_report": lambda s: reports.traffic_report(
+        s["paid_traffic_by_channel"], s["natural_traffic_by_channel"], s["spu_sales"]
+    ),
+    "monthly_trend": lambda s: summaries.monthly_trend(s["sales_monthly"]),
+    "platform_report": lambda s: summaries.platform_report(s["fact_order"]),
+    "top_products": lambda s: summaries.top_products(s["product_total"]),
+    "category_analysis": lambda s: summaries.category_analysis(s["sales"], s["dim_product"]),
+    "user_level_analysis": lambda s: summaries.user_level_analysis(s["user_total"]),
+    "store_leaderboard": lambda s: summaries.store_leaderboard(s["store_total"]),
+}
+
+# parts of the reports, and frames that are looked at but not stored
+PARTS: dict[str, Callable[["Star"], DataFrame]] = {
+    "promo_cost_by_sku": lambda s: reports.promo_cost_by_sku(s["fact_promotion"]),
+    "daily_report_sales": lambda s: reports.daily_report_sales(s["daily_report"]),
+    "daily_report_promo_only": lambda s: reports.daily_report_promo_only(s["daily_report"]),
+    "paid_traffic_by_channel": lambda s: reports.paid_traffic_by_channel(
+        s["fact_promotion"], s["dim_date"], s["dim_store"], s["dim_product"]
+    ),
+    "natural_traffic_by_channel": lambda s: reports.natural_traffic_by_channel(
+        s["ods_product_traffic"], s["dim_store"], s["dim_product"]
+    ),
+    "spu_sales": lambda s: reports.spu_sales(s["sales"], s["dim_date"], s["dim_store"], s["dim_product"]),
+    "order_wide": lambda s: summaries.order_wide(
+        s["ods_orders"], s["ods_order_details"], s["ods_users"], s["ods_stores"], s["ods_products"]
+    ),
+    "detail_wide": lambda s: summaries.detail_wide(s["ods_order_details"], s["ods_products"]),
+}
+
+DERIVED: dict[str, Callable[["Star"], DataFrame]] = {
+    "split_paid": lambda s: derive.split_paid(s["traffic_log"]),
+    "split_natural": lambda s: derive.split_natural(s["traffic_log"]),
+    "store_traffic_rollup": lambda s: derive.store_traffic_rollup(s["traffic_log"]),
+    "sku_store_daily_clicks": lambda s: derive.sku_store_daily_clicks(s["traffic_log"]),
+    "initial_inventory": lambda s: derive.initial_inventory(s["ods_products"], s["ods_users"]),
+    "product_stats": lambda s: derive.product_stats(s["ods_products"]),
+    "order_line_rollup": lambda s: derive.order_line_rollup(
+        s["ods_order_details"], s["ods_orders"], s["ods_products"]
+    ),
+}
+
+PLANS = DIMENSIONS | FACTS | DAILY | TOTALS | REPORTS | PARTS | DERIVED
+
+
+class Star(Mapping[str, DataFrame]):
+    """Tables of the warehouse by name, built from the raw tables when first asked for.
+
+    ``settle(name, plan)`` may store a table and return it as stored; without it everything is one lazy
+    plan. ``given`` are tables to use as they are. ``earlier`` are dimensions of the run before, whose
+    keys are kept.
+    """
 
-    def __init__(self, raw: Mapping[str, DataFrame], dim_date: DataFrame | None = None):
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        settle: Callable[[str, DataFrame], DataFrame] | None = None,
+        given: Mapping[str, DataFrame] | None = None,
+        earlier: Mapping[str, DataFrame] | None = None,
+    ):
         self.raw = raw
-        self._dim_date = dim_date
-
-    # dimensions
-
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        return self._dim_date or dims.dim_date_of(self.raw["ods_orders"], "order_time")
-
-    @cached_property
-    def dim_user(self) -> DataFrame:
-        return lookup_side(dims.dim_user(self.raw["ods_users"]), self.raw["ods_users"])
-
-    @cached_property
-    def dim_product(self) -> DataFrame:
-        return lookup_side(dims.dim_product(self.raw["ods_products"]), self.raw["ods_products"])
-
-    @cached_property
-    def dim_store(self) -> DataFrame:
-        return lookup_side(dims.dim_store(self.raw["ods_stores"]), self.raw["ods_stores"])
-
-    # facts
-
-    @cached_property
-    def fact_order(self) -> DataFrame:
-        return facts.fact_order(self.raw["ods_orders"], self.dim_user, self.dim_store)
-
-    @cached_property
-    def fact_order_detail(self) -> DataFrame:
-        return facts.fact_order_detail(self.raw["ods_order_details"], self.fact_order, self.dim_product)
-
-    @cached_property
-    def fact_promotion(self) -> DataFrame:
-        return facts.fact_promotion(self.raw["ods_promotion"], self.dim_store, self.dim_product)
-
-    @cached_property
-    def fact_traffic(self) -> DataFrame:
-        return facts.fact_traffic(self.raw["ods_traffic"], self.dim_store)
-
-    @cached_property
-    def fact_inventory(self) -> DataFrame:
-        return facts.fact_inventory(self.raw["ods_inventory"], self.dim_product, self.dim_store)
-
-    @cached_property
-    def sales(self) -> DataFrame:
-        return sales.completed_sales(self.fact_order_detail)
-
-    # rollups
-
-    @property
-    def trade_order_1d(self) -> DataFrame:
-        return rollups.trade_order_1d(self.fact_order)
-
-    @property
-    def trade_product_1d(self) -> DataFrame:
-        return rollups.trade_product_1d(self.sales)
-
-    @property
-    def store_daily(self) -> DataFrame:
-        return rollups.store_daily(self.fact_order)
-
-    @property
-    def store_total(self) -> DataFrame:
-        return rollups.store_total(self.fact_order, self.dim_store)
-
-    @property
-    def product_total(self) -> DataFrame:
-        return rollups.product_total(self.sales, self.dim_product)
-
-    @property
-    def category_total(self) -> DataFrame:
-        return rollups.category_total(self.sales, self.dim_product)
-
-    @property
-    def user_total(self) -> DataFrame:
-        return rollups.user_total(self.fact_order, self.dim_user)
-
-    @property
-    def promotion_daily(self) -> DataFrame:
-        return rollups.promotion_daily(self.fact_promotion)
-
-    @property
-    def traffic_daily(self) -> DataFrame:
-        return rollups.traffic_daily(self.fact_traffic, self.fact_order)
-
-    @property
-    def sales_daily(self) -> DataFrame:
-        return summaries.sales_daily(self.fact_order)
-
-    @property
-    def sales_monthly(self) -> DataFrame:
-        return summaries.sales_monthly(self.fact_order)
-
-    @property
-    def product_daily(self) -> DataFrame:
-        return summaries.product_daily(self.sales)
-
-    @property
-    def category_daily(self) -> DataFrame:
-        return summaries.category_daily(self.sales, self.dim_product)
-
-    @property
-    def user_daily(self) -> DataFrame:
-        return summaries.user_daily(self.fact_order)
-
-    @property
-    def promotion_product(self) -> DataFrame:
-        return summaries.promotion_product(self.fact_promotion, self.sales)
-
-    # reports
-
-    @cached_property
-    def daily_report(self) -> DataFrame:
-        return reports.daily_report(self.sales, self.fact_promotion, self.dim_date, self.dim_store, self.dim_product)
-
-    @property
-    def platform_summary(self) -> DataFrame:
-        return reports.platform_summary(self.daily_report)
-
-    @property
-    def store_ranking(self) -> DataFrame:
-        return reports.store_ranking(self.daily_report)
+        self._settle = settle or (lambda name, plan: plan)
+        self._done = dict(given or {})
+        self._earlier = earlier or {}
 
-    @property
-    def paid_traffic(self) -> DataFrame:
-        return reports.paid_traffic_by_channel(self.fact_promotion, self.dim_date, self.dim_store, self.dim_product)
+    def plan(self, name: str) -> DataFrame:
+        """How the table is computed from the tables before it."""
+        return PLANS[name](self)
 
-    @property
-    def natural_traffic(self) -> DataFrame:
-        return reports.natural_traffic_by_channel(self.raw["ods_product_traffic"], self.dim_store, self.dim_product)
+    def earlier(self, name: str) -> DataFrame | None:
+        return self._earlier.get(name)
 
-    @property
-    def spu_sales(self) -> DataFrame:
-        return reports.spu_sales(self.sales, self.dim_date, self.dim_store, self.dim_product)
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self.raw:
+            return self.raw[name]
+        if name not in self._done:
+            table = self._settle(name, self.plan(name))
+            if name in DIMENSION_SOURCE:
+                table = lookup_side(table, self.raw[DIMENSION_SOURCE[name]].count())
+            self._done[name] = table
+        return self._done[name]
 
-    @property
-    def traffic_report(self) -> DataFrame:
-        return reports.traffic_report(self.paid_traffic, self.natural_traffic, self.spu_sales)
+    def __iter__(self) -> Iterator[str]:
+        return iter(PLANS)
 
-    # quality
+    def __len__(self) -> int:
+        return len(PLANS)
 
     def metrics(self, files: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """Metrics of all layers; ``files`` are the raw frames as read from CSV, if that layer is to be there."""
-        raw = self.raw
         layers = [
-            quality.raw_metrics("ODS", raw["ods_orders"], raw["ods_promotion"], raw["ods_order_details"]),
-            quality.dwd_metrics(self.fact_order, self.fact_order_detail, self.fact_promotion),
-            quality.dws_metrics(self.sales_daily, self.trade_product_1d, self.promotion_daily),
-            quality.ads_metrics(self.daily_report),
+            quality.raw_metrics("ODS", self["ods_orders"], self["ods_promotion"], self["ods_order_details"]),
+            quality.dwd_metrics(self["fact_order"], self["fact_order_detail"], self["fact_promotion"]),
+            quality.dws_metrics(self["sales_daily"], self["trade_product_1d"], self["promotion_daily"]),
+            quality.ads_metrics(self["daily_report"]),
         ]
         if files is not None:
             layers.insert(0, quality.raw_metrics("CSV", files["ods_orders"], files["ods_promotion"]))
