@@ -61,7 +61,7 @@ def surrogate_key(rows: DataFrame, business_id: str, into: str, existing: DataFr
 
 def _one_row_per_id(bucketed: DataFrame, business_id: str) -> DataFrame:
     others = [c for c in bucketed.columns if c not in (business_id, "_bucket")]
-    first = F.row_number().over(Window.partitionBy("_bucket", business_id).orderBy(*others))
+    first = F.row_number().over(Window.partitionBy("_bucket", business_id).orderBy(*(others or [business_id])))
     # this exchange serves both the window here and the numbering window above it
     return bucketed.repartition("_bucket").withColumn("_first", first).filter("_first = 1").drop("_first")
 

@@ -36,7 +36,11 @@ class TableStore:
         else:
             writer = rows.write
         writer.option("partitionOverwriteMode", "static").mode("overwrite").parquet(self.path(name))
-        return self.read(name)
+        stored = self.find(name)
+        if stored is None:  # no rows, so no partition was written that would hold the schema
+            rows.limit(0).write.mode("overwrite").parquet(self.path(name))
+            stored = self.read(name)
+        return stored
 
     def replace_dates(self, name: str, rows: DataFrame, date_keys: Sequence[int]) -> DataFrame:
         """Replace the partitions of ``date_keys`` with ``rows`` and leave the other dates alone.

@@ -1,0 +1,104 @@
+import datetime as dt
+from collections import defaultdict
+from decimal import Decimal
+
+from retailoom.operators import derive
+
+D = Decimal
+DAY = dt.date(2024, 3, 5)
+LOG = (
+    "date date, store_id string, platform string, sku_id string, product_id string, product_tier string, "
+    "flow_type string, channel string, impressions int, clicks int, cost decimal(10,2)"
+)
+
+
+def log_row(sku, clicks, flow="付费", tier="畅销品", day=DAY, store="S1"):
+    return (day, store, "甲", sku, "P1", tier, flow, "a", 100, clicks, D("1.50"))
+
+
+def test_paid_rows_are_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(derive, "ID_CHUNK", 7)  # many copies: their ids come in several arrays
+    rows = [log_row("K1", 3)] * 100 + [log_row(f"K{n}", n) for n in range(2, 60)] + [log_row("K1", 3, "自然")]
+    found = derive.split_paid(spark.createDataFrame(rows, LOG)).collect()
+    assert sorted(r["promotion_id"] for r in found) == [f"PM{n:08d}" for n in range(1, 159)]
+    assert sum(r["sku_id"] == "K1" for r in found) == 100
+    assert {r["ctr"] for r in found if r["sku_id"] == "K1"} == {D("3.00")}
+
+
+def test_natural_rows(spark):
+    rows = [log_row("K1", 3), log_row("K2", 3, "自然"), log_row("K3", 3, None)]
+    assert [r["sku_id"] for r in derive.split_natural(spark.createDataFrame(rows, LOG)).collect()] == ["K2"]
+
+
+def test_store_traffic_is_rounded_down(spark):
+    log = spark.createDataFrame([log_row("K1", 9), log_row("K2", 10)], LOG)
+    (row,) = derive.store_traffic_rollup(log).collect()
+    assert (row["clicks"], row["visitors"], row["page_views"]) == (19, 15, 28)
+    parts = (row["search_traffic"], row["recommend_traffic"], row["direct_traffic"], row["other_traffic"])
+    assert parts == (6, 4, 3, 1)
+
+
+def test_clicks_per_sku(spark):
+    log = spark.createDataFrame([log_row("K1", 1, "自然"), log_row("K1", 2), log_row("K2", 4, "自然")], LOG)
+    found = {r["sku_id"]: (r["clicks"], r["flow_type"]) for r in derive.sku_store_daily_clicks(log).collect()}
+    assert found == {"K1": (3, "付费"), "K2": (4, "自然")}
+
+
+RATE = {"畅销品": 550, "利润品": 200, "主推新品": 350, "滞销品": 100, "引流品": 700}
+
+
+def test_allocation_is_exact(spark):
+    """Against brute force, with a day where most rows have the same remainder."""
+    tiers = [*RATE, None]
+    other = dt.date(2024, 3, 6)
+    rows = [log_row(f"K{n:04d}", 2) for n in range(600)]
+    rows += [log_row(f"L{n:04d}", n % 9, tier=tiers[n % 6], store=f"S{n % 3}") for n in range(200)]
+    rows += [log_row(f"M{n:04d}", n, tier=tiers[n % 6], day=other) for n in range(50)]
+    rows += [log_row("Z", 0, day=dt.date(2024, 3, 7))]
+    clicks = derive.sku_store_daily_clicks(spark.createDataFrame(rows, LOG))
+    found = derive.allocate_orders(clicks, 317).collect()
+
+    weights = defaultdict(dict)
+    for day, store, _, sku, _, tier, _, _, _, count, _ in rows:
+        if count:
+            weights[day][(sku, store)] = count * RATE.get(tier, 350)
+    assert len(found) == sum(len(day) for day in weights.values())
+    for day, shares in weights.items():
+        given = {(r["sku_id"], r["store_id"]): r["orders"] for r in found if r["date"] == day}
+        total = sum(shares.values())
+        assert sum(given.values()) == 317
+        extra = {key: given[key] - 317 * w // total for key, w in shares.items()}
+        assert set(extra.values()) <= {0, 1}
+        winners = [317 * shares[k] % total for k, e in extra.items() if e]
+        losers = [317 * shares[k] % total for k, e in extra.items() if not e]
+        assert not winners or not losers or min(winners) >= max(losers)
+
+
+def test_initial_inventory(spark):
+    products = spark.createDataFrame([(f"K{n}", "S1", n) for n in range(20)], "sku_id string, store_id string, stock int")
+    users = spark.createDataFrame([(dt.date(2020, 5, 1),), (dt.date(2020, 4, 1),), (None,)], "register_date date")
+    found = derive.initial_inventory(products, users).collect()
+    assert sorted(r["inventory_id"] for r in found) == [f"INV{n:08d}" for n in range(1, 21)]
+    assert {r["date"] for r in found} == {dt.date(2020, 4, 1)}
+    assert all(r["change_quantity"] == r["stock_quantity"] == int(r["sku_id"][1:]) for r in found)
+
+
+def test_product_stats(spark):
+    products = spark.createDataFrame(
+        [("K1", "P1", "C1"), ("K2", "P1", "C1"), ("K3", "P2", None)], "sku_id string, product_id string, product_code string"
+    )
+    assert tuple(derive.product_stats(products).first()) == (3, 2, 1, D("1.50"))
+    assert tuple(derive.product_stats(products.limit(0)).first()) == (0, 0, 0, D("0.00"))
+
+
+def test_order_lines(spark):
+    details = spark.createDataFrame(
+        [("O1", "K1", 2), ("O1", "K1", 1), ("O1", "K2", 1), ("O2", "K2", 5)], "order_id string, sku_id string, quantity int"
+    )
+    orders = spark.createDataFrame([("O1", "已完成"), ("O2", "已发货")], "order_id string, order_status string")
+    products = spark.createDataFrame(
+        [("K1", D("10"), D("6"), "整车-品牌"), ("K2", D("5"), D("2"), "骑行装备")],
+        "sku_id string, price decimal(10,2), cost decimal(10,2), category_l1 string",
+    )
+    found = {r["order_id"]: tuple(r)[1:] for r in derive.order_line_rollup(details, orders, products).collect()}
+    assert found == {"O1": (35, 93, 35, 20), "O2": (25, 15, 0, 0)}
