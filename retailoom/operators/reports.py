@@ -252,8 +252,12 @@ def traffic_report(paid_by_channel: DataFrame, natural_by_channel: DataFrame, sp
         "add_to_cart",
         F.lit(0).cast(C.MONEY).alias("cost"),
     )
+    sale_key = ["date", "platform", "store_name", "product_id", "flow_type"]
+    # both inputs are already one row per channel, so there is little to combine before the exchange;
+    # partitioning by the key of the sales serves the grouping and the join
     traffic = (
         paid.unionByName(natural)
+        .repartition(*sale_key)
         .groupBy(*SPU, "flow_type")
         .agg(
             *[C.units(c).alias(c) for c in ("impressions", "clicks", "favorites", "add_to_cart")],
@@ -264,7 +268,7 @@ def traffic_report(paid_by_channel: DataFrame, natural_by_channel: DataFrame, sp
     is_paid = F.col("flow_type") == config.FLOW_PAID
     no_rate = F.lit(0).cast(C.RATE)
     return (
-        traffic.join(spu_sales, ["date", "platform", "store_name", "product_id", "flow_type"], "left")
+        traffic.join(spu_sales, sale_key, "left")
         .withColumns(
             {
                 "sales_quantity": F.coalesce(quantity, F.lit(0)),

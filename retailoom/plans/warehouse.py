@@ -13,6 +13,8 @@ from retailoom.schemas import RAW_COLUMNS, REPORT_LABELS
 from retailoom.sources.csv_files import write_csv
 from retailoom.sources.tables import TableStore
 
+TABLES = (*DIMENSIONS, *FACTS, *DAILY, *TOTALS, *REPORTS)
+
 # stored by date, and refreshed by date
 DATED = frozenset({*FACTS, *DAILY, "daily_report", "traffic_report"})
 
@@ -50,14 +52,14 @@ class Warehouse:
         """Over raw tables as ``load_layer`` stores them."""
         return cls(spark, {name: raw_store.read(name) for name in RAW_COLUMNS}, root)
 
-    def refresh(self) -> Star:
-        """Build everything anew."""
+    def refresh(self, tables: Sequence[str] = TABLES) -> Star:
+        """Build the tables, and what they are made from, anew."""
         star = Star(self.raw, self._write_all)
-        for name in (*DIMENSIONS, *FACTS, *DAILY, *TOTALS, *REPORTS):
+        for name in tables:
             star[name]
         return star
 
-    def refresh_dates(self, date_keys: Sequence[int]) -> Star:
+    def refresh_dates(self, date_keys: Sequence[int], tables: Sequence[str] = TABLES) -> Star:
         """Recompute the given dates, and the tables that are not by date.
 
         The result is that of a full refresh, with one difference: rows new to a dimension get the next
@@ -73,19 +75,19 @@ class Warehouse:
 
         some_days = {name: self._on_days(name, date_keys) for name in self.raw}
         dated = Star(some_days, lambda name, plan: self._write_dates(name, plan, date_keys), given)
-        for name in DATED:
-            dated[name]
+        for name in tables:
+            if name in DATED:
+                dated[name]
 
-        stored = given | {name: self.store.read(name) for name in DATED}
+        stored = given | {name: self.store.read(name) for name in DATED if name in tables or name in FACTS}
         star = Star(self.raw, self._write_all, stored)
-        for name in (*TOTALS, *REPORTS):
+        for name in tables:
             star[name]
         return star
 
     def check(self, files: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """Compare the stored layers; ``files`` are the raw frames as read from CSV."""
-        stored = (*DIMENSIONS, *FACTS, *DAILY, *TOTALS, *REPORTS)
-        star = Star(self.raw, given={name: self.store.read(name) for name in stored})
+        star = Star(self.raw, given={name: self.store.read(name) for name in TABLES})
         layers = quality.LAYERS if files is not None else quality.LAYERS[1:]
         return quality.consistency_check(star.metrics(files), layers)
 
@@ -109,7 +111,7 @@ class Warehouse:
         return rows.filter(near & C.date_key(moment).isin(*date_keys))
 
     def _write_all(self, name: str, plan: DataFrame) -> DataFrame:
-        if name not in (*DIMENSIONS, *FACTS, *DAILY, *TOTALS, *REPORTS):
+        if name not in TABLES:
             return plan
         return self.store.replace(name, _keyed(name, plan), by_date=name in DATED)
 

@@ -67,6 +67,12 @@ class TableStore:
         return self.replace(name, rows)
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Use all cores for a table whose files split into fewer parts; a large table is left as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _balanced(rows: DataFrame) -> DataFrame:
     """Bring rows of a date together for writing; adaptive execution splits large dates and joins small ones."""
     return rows.hint("rebalance", PARTITION)
