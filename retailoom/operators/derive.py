@@ -10,6 +10,9 @@ from retailoom.functions.numbering import hash_bucket, number_by_hash
 # ids handed out by one generated array, so that many copies of a row never make a huge array
 ID_CHUNK = 10_000
 
+# 65,536 buckets for numbering rows of a log
+ROW_HASH_DIGITS = 4
+
 
 def split_paid(traffic: DataFrame) -> DataFrame:
     """Paid rows of the traffic log as promotion rows, numbered ``PM00000001`` onwards.
@@ -22,7 +25,7 @@ def split_paid(traffic: DataFrame) -> DataFrame:
         traffic.filter(F.col("flow_type") == config.FLOW_PAID)
         .groupBy(*content)
         .agg(F.count("*").alias("copies"))
-        .withColumn("bucket", hash_bucket(*content))
+        .withColumn("bucket", hash_bucket(*content, digits=ROW_HASH_DIGITS))
     )
     sizes = distinct.groupBy("bucket").agg(F.sum("copies").alias("rows"))
     earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,7 +111,7 @@ def allocate_orders(clicks: DataFrame, per_day: int) -> DataFrame:
     days = weighted.groupBy("date").agg(F.sum("weight").alias("day_weight"))
     whole = F.floor(F.expr(f"({per_day} * weight) div day_weight")).cast("bigint")
     shares = (
-        weighted.join(days, "date")
+        weighted.join(F.broadcast(days), "date")  # one row per calendar day
         .withColumn("whole", whole)
         .withColumn("remainder", F.expr(f"({per_day} * weight) % day_weight"))
         .withColumn("tie", hash_bucket("sku_id", "store_id"))

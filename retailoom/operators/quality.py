@@ -126,21 +126,24 @@ def consistency_check(
 
     ``layers`` are the layers that must be there: a missing one makes its rows fail.
     """
-    wide = _wide(metrics, "layer", layers)
-    checks = []
-    for left, right, fields in PAIRS:
-        if left not in layers or right not in layers:
-            continue
-        difference = F.abs(F.col(left) - F.col(right))
-        checks.append(
-            wide.filter(F.col("metric").isin(*fields)).select(
+    compared = [(left, right, fields) for left, right, fields in PAIRS if left in layers and right in layers]
+    pairs = F.array(
+        *[
+            F.struct(
                 F.lit(f"{left}-{right}").alias("pair"),
-                "metric",
-                C.money(difference).alias("diff"),
-                F.coalesce(difference < F.lit(tolerance).cast("decimal(9,2)"), F.lit(False)).alias("ok"),
+                F.abs(F.col(left) - F.col(right)).alias("difference"),
+                F.col("metric").isin(*fields).alias("compared"),
             )
-        )
-    return _union(checks)
+            for left, right, fields in compared
+        ]
+    )
+    within = F.col("difference") < F.lit(tolerance).cast("decimal(9,2)")
+    return (
+        _wide(metrics, "layer", layers)
+        .select("metric", F.inline(pairs))
+        .filter("compared")
+        .select("pair", "metric", C.money(F.col("difference")).alias("diff"), F.coalesce(within, F.lit(False)).alias("ok"))
+    )
 
 
 def all_consistent(check: DataFrame) -> bool:

@@ -93,9 +93,9 @@ PARTS: dict[str, Callable[["Star"], DataFrame]] = {
     ),
     "spu_sales": lambda s: reports.spu_sales(s["sales"], s["dim_date"], s["dim_store"], s["dim_product"]),
     "order_wide": lambda s: summaries.order_wide(
-        s["ods_orders"], s["ods_order_details"], s["ods_users"], s["ods_stores"], s["ods_products"]
+        s["ods_orders"], s["ods_order_details"], s.lookup("ods_users"), s.lookup("ods_stores"), s.lookup("ods_products")
     ),
-    "detail_wide": lambda s: summaries.detail_wide(s["ods_order_details"], s["ods_products"]),
+    "detail_wide": lambda s: summaries.detail_wide(s["ods_order_details"], s.lookup("ods_products")),
 }
 
 DERIVED: dict[str, Callable[["Star"], DataFrame]] = {
@@ -106,7 +106,7 @@ DERIVED: dict[str, Callable[["Star"], DataFrame]] = {
     "initial_inventory": lambda s: derive.initial_inventory(s["ods_products"], s["ods_users"]),
     "product_stats": lambda s: derive.product_stats(s["ods_products"]),
     "order_line_rollup": lambda s: derive.order_line_rollup(
-        s["ods_order_details"], s["ods_orders"], s["ods_products"]
+        s["ods_order_details"], s["ods_orders"], s.lookup("ods_products")
     ),
 }
 
@@ -132,6 +132,7 @@ class Star(Mapping[str, DataFrame]):
         self._settle = settle or (lambda name, plan: plan)
         self._done = dict(given or {})
         self._earlier = earlier or {}
+        self._counted: dict[str, int] = {}
 
     def plan(self, name: str) -> DataFrame:
         """How the table is computed from the tables before it."""
@@ -146,10 +147,19 @@ class Star(Mapping[str, DataFrame]):
         if name not in self._done:
             table = self._settle(name, self.plan(name))
             if name in DIMENSION_SOURCE:
-                table = lookup_side(table, self.raw[DIMENSION_SOURCE[name]].count())
+                table = lookup_side(table, self._rows(DIMENSION_SOURCE[name]))
             self._done[name] = table
         return self._done[name]
 
+    def lookup(self, name: str) -> DataFrame:
+        """A raw table as the side of a join that is looked up in."""
+        return lookup_side(self.raw[name], self._rows(name))
+
+    def _rows(self, name: str) -> int:
+        if name not in self._counted:
+            self._counted[name] = self.raw[name].count()
+        return self._counted[name]
+
     def __iter__(self) -> Iterator[str]:
         return iter(PLANS)
 
