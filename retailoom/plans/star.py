@@ -151,6 +151,11 @@ class Star(Mapping[str, DataFrame]):
             self._done[name] = table
         return self._done[name]
 
+    @property
+    def built(self) -> list[str]:
+        """Tables asked for so far."""
+        return list(self._done)
+
     def lookup(self, name: str) -> DataFrame:
         """A raw table as the side of a join that is looked up in."""
         return lookup_side(self.raw[name], self._rows(name))

@@ -79,7 +79,7 @@ class Warehouse:
             if name in DATED:
                 dated[name]
 
-        stored = given | {name: self.store.read(name) for name in DATED if name in tables or name in FACTS}
+        stored = given | {name: self.store.read(name) for name in dated.built if name in DATED}
         star = Star(self.raw, self._write_all, stored)
         for name in tables:
             star[name]
