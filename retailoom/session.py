@@ -44,6 +44,15 @@ def build_session(app_name: str = "retailoom", input_bytes: int | None = None, c
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share.
+
+    It is what ``spark.checkpoint.dir`` names; where that is unset, a folder of the warehouse, which is shared as well.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored").rstrip("/")
+
+
 def scratch_dir(spark: SparkSession) -> str | None:
     """The shared folder for intermediate tables, as the cluster names it.
 
