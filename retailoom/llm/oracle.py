@@ -1,0 +1,30 @@
+"""SQL twins of the registered queries of this subpackage, for DuckDB."""
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+OP6 = f"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') w
+  from documents
+), s as (
+  select doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]]
+    else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end) shingle
+  from w
+), n as (
+  select doc_id, count(*) n from s group by doc_id
+), both as (
+  select x.doc_id a, y.doc_id b, count(*) c from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by all
+), link as (
+  select a, b from both join n p on p.doc_id = a join n q on q.doc_id = b where 100 * c >= 80 * (p.n + q.n - c)
+), reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select r.doc_id, b from reach r join link on a = other
+), least as (
+  select doc_id, min(other) component_id from reach group by doc_id
+)
+select d.doc_id, coalesce(n.n, 0) n_shingles, component_id, d.doc_id = component_id kept
+from documents d join least using (doc_id) left join n using (doc_id)
+"""
+
+SQL = {"op6_minhash_near_dedup": OP6}
