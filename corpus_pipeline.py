@@ -3,25 +3,69 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailoom.llm.decontaminate import contamination
+from retailoom.llm.language import languages_of
 from retailoom.llm.near_dedup import near_duplicates
+from retailoom.llm.quality import accepted_only, train
+from retailoom.llm.queries import LEAST_QUALITY, held_out, packed, table
 from retailoom.llm.store import Scratch
 
 
+def _without(spark: SparkSession, docs: DataFrame, rejected: DataFrame, name: str, **keys) -> DataFrame:
+    """The documents that no row of ``rejected`` names; keys: its column, and what it equals in the documents."""
+    rejected = rejected.select(*[F.col(k).alias(f"_rejected_{k}") for k in keys]).distinct()
+    rejected = Scratch(spark, "pipeline").settle(rejected, name)
+    same = None
+    for k, value in keys.items():
+        equal = value.eqNullSafe(rejected[f"_rejected_{k}"])
+        same = equal if same is None else same & equal
+    return docs.join(rejected, same, "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text scores at least ``LEAST_QUALITY`` stay."""
+    model = train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return accepted_only(docs, model, LEAST_QUALITY)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the corpus' languages stay."""
+    judged = languages_of(docs, declared=docs["lang"], host=docs["source"]).where("not accepted")
+    return _without(spark, docs, judged, "languages", doc_id=docs["doc_id"], row_key=F.xxhash64(docs["text"], docs["lang"], docs["source"]))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id."""
-    dropped = near_duplicates(docs, shingle=5, percent=80).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    dropped = Scratch(spark, "stage").settle(dropped, "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    """One document of each group of near copies (five words, 0.8) stays, that with the smallest id."""
+    return _without(spark, docs, near_duplicates(docs, shingle=5, percent=80).where("not kept"), "copies", doc_id=docs["doc_id"])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with passages of the benchmark go."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    return _without(spark, docs, found, "contaminated", doc_id=docs["doc_id"], text_key=F.xxhash64(docs["text"]))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each part of each document goes."""
+    return packed(docs)
 
 
-STAGES = [("MinHash near-dedup", near_dedup)]
+STAGES = [
+    ("quality classifier", quality),
+    ("language ID", language),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("best-fit packing", packing),
+]
 
+# the classifiers and the packing have no SQL form; tests hold the stages against brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written and read again; rows of the last."""
+    scratch = Scratch(spark, "run")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        scratch = Scratch(spark, "pipeline")
         docs = scratch.settle(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return docs

@@ -2,6 +2,32 @@
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+OP1 = f"""
+with dw as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w
+  from documents
+), bw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w
+  from benchmark
+), win as (
+  select distinct item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) g
+  from (select item_id, w, least(13, len(w)) n from bw) x where n > 0
+), grams as (
+  select doc_id, n, unnest(range(1, len(w) - n + 2)) i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) g
+  from dw join (select distinct n from win) x on len(w) >= n
+), met as (
+  select doc_id, i, n, item_id from grams join win using (n, g)
+), places as (
+  select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + n)) p from met) x group by doc_id
+), items as (
+  select doc_id, count(*) n_items, string_agg(item_id, ',' order by item_id) ids
+  from (select distinct doc_id, cast(item_id as varchar) item_id from met) x group by doc_id
+)
+select dw.doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+  sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
+from dw left join places using (doc_id) left join items using (doc_id)
+"""
+
 OP6 = f"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') w
@@ -12,10 +38,10 @@ with recursive w as (
   from w
 ), n as (
   select doc_id, count(*) n from s group by doc_id
-), both as (
+), met as (
   select x.doc_id a, y.doc_id b, count(*) c from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by all
 ), link as (
-  select a, b from both join n p on p.doc_id = a join n q on q.doc_id = b where 100 * c >= 80 * (p.n + q.n - c)
+  select a, b from met join n p on p.doc_id = a join n q on q.doc_id = b where 100 * c >= 80 * (p.n + q.n - c)
 ), reach(doc_id, other) as (
   select doc_id, doc_id from documents
   union
@@ -27,4 +53,4 @@ select d.doc_id, coalesce(n.n, 0) n_shingles, component_id, d.doc_id = component
 from documents d join least using (doc_id) left join n using (doc_id)
 """
 
-SQL = {"op6_minhash_near_dedup": OP6}
+SQL = {"op1_decontamination": OP1, "op6_minhash_near_dedup": OP6}

@@ -2,19 +2,61 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from retailoom.llm.decontaminate import contamination
+from retailoom.llm.language import languages_of
 from retailoom.llm.near_dedup import near_duplicates
+from retailoom.llm.packing import pack
+from retailoom.llm.quality import quality_scores, train
+
+SEQUENCE_BYTES = 8192
+LEAST_QUALITY = 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(id_column: str = "doc_id") -> Column:
+    """Rows whose labels are never learned from."""
+    return F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(5)) == 0
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Sequences of ``SEQUENCE_BYTES`` bytes, no two pieces of one source or of equal texts (but for case) in one."""
+    return pack(docs, F.octet_length("text"), SEQUENCE_BYTES, source=F.col("source"), cluster=F.xxhash64(F.lower("text")))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return languages_of(docs, declared=F.col("lang"), host=F.col("source")).drop("row_key")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    scores = quality_scores(docs, model)
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
 }
