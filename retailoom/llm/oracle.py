@@ -53,4 +53,17 @@ select d.doc_id, coalesce(n.n, 0) n_shingles, component_id, d.doc_id = component
 from documents d join least using (doc_id) left join n using (doc_id)
 """
 
-SQL = {"op1_decontamination": OP1, "op6_minhash_near_dedup": OP6}
+OP10 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v
+  from embeddings
+  where vec_id is not null and embedding is not null and not list_contains(list_transform(embedding, lambda x: x is null or not isfinite(x)), true)
+), pairs as (
+  select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
+)
+select query_id, cast(rank as integer) rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from pairs) x where rank <= 5
+"""
+
+SQL = {"op10_exact_top_k": OP10, "op1_decontamination": OP1, "op6_minhash_near_dedup": OP6}

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +11,18 @@ from retailoom.llm.language import languages_of
 from retailoom.llm.near_dedup import near_duplicates
 from retailoom.llm.packing import pack
 from retailoom.llm.quality import quality_scores, train
+from retailoom.llm.token_counts import token_counts
+from retailoom.llm.top_k import top_k
+from retailoom.llm.url_filter import judged_urls
 
 SEQUENCE_BYTES = 8192
 LEAST_QUALITY = 0.3
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +63,25 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op8_url_filter": op8_url_filter,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_exact_top_k": op10_exact_top_k,
 }
