@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from retailoom.llm.decontaminate import contamination
 from retailoom.llm.language import languages_of
+from retailoom.llm.licenses import license_scan
+from retailoom.llm.main_text import main_texts
 from retailoom.llm.near_dedup import near_duplicates
 from retailoom.llm.packing import pack
 from retailoom.llm.quality import quality_scores, train
@@ -47,6 +49,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: a hundred documents of a source are taken as a directory below the source's."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    return license_scan(table(spark, sf_dir, "documents"), path)
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return languages_of(docs, declared=F.col("lang"), host=F.col("source")).drop("row_key")
@@ -78,6 +90,8 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_license_scan": op3_license_scan,
+    "op4_main_text": op4_main_text,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
