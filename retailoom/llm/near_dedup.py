@@ -1,17 +1,18 @@
 """MinHash near-duplicates by an inverted join over signature coordinates.
 
 1. Each text becomes the set of its word shingles (64-bit hashes), a digest of that set and a MinHash signature of
-   ``COORDINATES`` values. Texts with equal sets are one class, whose smallest id stands for it.
+   ``COORDINATES`` values, each made of two minima. Texts with equal sets are one class; its smallest id stands for it.
 2. A signature is a set of tokens (coordinate, value). Tokens are ordered from rare to frequent by a frequency sketch of
    fixed size. Two signatures that agree in at least ``MATCHES`` coordinates share at least ``COLLISIONS`` of the first
    COORDINATES - MATCHES + COLLISIONS tokens in any common order. So only these prefixes are posted, tokens posted once
    are skipped, and collisions per pair are counted.
 3. Pairs with enough collisions are confirmed on their full sets.
 
-A group of many similar texts is never spelled out in pairs: leader rounds first link members of a posting list to one
-leader, and pairs inside one component are skipped from then on. What is left is compared in full, so a pair that
-passes the match threshold is never lost. A pair of similarity 0.8 agrees in fewer than 22 of 48 coordinates with a
-probability of about one in a million.
+A group of many similar texts is never spelled out in pairs. Leader rounds link members of a posting list to its most
+central one, and pairs inside one component are skipped from then on. Texts that still share enough tokens with texts of
+other components are joined by the rarest shingles of their full sets, which loses no pair of the wanted similarity and
+lets through few others. A pair of similarity 0.8 agrees in a coordinate with probability 0.64, and in fewer than 6 of
+32 with one in a million; unrelated texts hardly ever agree in any.
 """
 
 from collections.abc import Iterator
@@ -25,15 +26,15 @@ from retailoom.llm.graph import components
 from retailoom.llm.store import Scratch, bitmap, in_bitmap
 from retailoom.llm.text import BLACK, U64, grams, mix, signed, text_slices, words
 
-COORDINATES = 48
-MATCHES = 22
-COLLISIONS = 6
+COORDINATES = 32
+MATCHES = 6
+COLLISIONS = 3
 SKETCH_BITS = 18
 LEADER_ROUNDS = 2
 FILTER_BITS = 1 << 23
 
-_SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=U64))
-_XOR, _ODD = _SEEDS[:COORDINATES], _SEEDS[COORDINATES:] | U64(1)
+_SEEDS = mix(np.arange(1, 4 * COORDINATES + 1, dtype=U64))
+_XOR, _ODD = _SEEDS[: 2 * COORDINATES], _SEEDS[2 * COORDINATES :] | U64(1)
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -65,16 +66,21 @@ def _digests(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _signatures(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """(rows, coordinates) of 32-bit minima; rows without shingles hold zeros."""
+    """(rows, coordinates) of 32-bit hashes of two minima each; rows without shingles hold zeros."""
     rows = len(bounds) - 1
     out = np.zeros((rows, COORDINATES), np.uint32)
     full = np.flatnonzero(bounds[1:] > bounds[:-1])
+    starts = bounds[full]
+
+    def least(n: int) -> np.ndarray:
+        x = (flat ^ _XOR[n]) * _ODD[n]
+        x ^= x >> U64(29)
+        x *= U64(0xBF58476D1CE4E5B9)
+        return np.minimum.reduceat(x, starts)
+
     if len(full):
         for c in range(COORDINATES):
-            x = (flat ^ _XOR[c]) * _ODD[c]
-            x ^= x >> U64(29)
-            x *= U64(0xBF58476D1CE4E5B9)
-            out[full, c] = np.minimum.reduceat(x >> U64(32), bounds[full]).astype(np.uint32)
+            out[full, c] = (mix(least(2 * c) * U64(3) + least(2 * c + 1)) >> U64(32)).astype(np.uint32)
     return out
 
 
@@ -124,8 +130,12 @@ def token_sketch(classes: DataFrame, sketch_bits: int) -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(total[found])], ["bucket", "n"])
 
-    sums = classes.select("signature").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    rows = sums.toArrow()
+    return _gathered(classes.select("signature").mapInArrow(count, "bucket int, n long"), sketch_bits)
+
+
+def _gathered(counts: DataFrame, sketch_bits: int) -> np.ndarray:
+    """A sketch from the (bucket, n) of all tasks."""
+    rows = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << sketch_bits, np.int64)
     out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
@@ -216,20 +226,26 @@ def near_duplicates(
     sketch = token_sketch(open_, sketch_bits)
     posted = scratch.settle(postings(open_, sketch, sketch_bits, prefix), "postings")
     # skip lists of one text; then texts that are left with too few tokens for any pair
-    shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     left = scratch.settle(posted.join(shared, "token"), "shared")
-    able = left.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COLLISIONS).select("id")
-    left = scratch.settle(left.join(able, "id").select("token", "id", "n"), "able")
+    # how central a text is: one that keeps what its group has in common is in its group's long lists
+    able = left.groupBy("id").agg(F.count(F.lit(1)).alias("own"), F.sum("c").alias("central")).where(F.col("own") >= COLLISIONS)
+    left = scratch.settle(left.join(able, "id").select("token", "id", "n", "central"), "able")
 
     edges, groups = None, None
-    for turn in range(leader_rounds + 1):
-        members = _with_group(left, groups)
-        pairs = _leader_pairs(members, turn, percent) if turn < leader_rounds else _other_pairs(members, percent)
-        pairs = scratch.settle(pairs, f"pairs-{turn}")
-        sets = _shingle_sets(docs, id_column, text_column, shingle, pairs, classes)
+    for turn in range(leader_rounds):
+        pairs = scratch.settle(_leader_pairs(_with_group(left, groups), turn, percent), f"pairs-{turn}")
+        sets = _shingle_sets(docs, id_column, text_column, shingle, _ends(pairs), classes)
         found = scratch.settle(confirmed(pairs, sets, percent), f"links-{turn}")
         edges = found if edges is None else edges.unionByName(found)
         groups = components(edges, scratch, f"groups-{turn}")
+    # texts that still share enough tokens with texts of other components
+    members = _with_group(left, groups)
+    mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+    ids = members.join(mixed, "token").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COLLISIONS).select("id")
+    sets = scratch.settle(_shingle_sets(docs, id_column, text_column, shingle, scratch.settle(ids, "open"), classes), "open-sets")
+    pairs = scratch.settle(_other_pairs(_with_group(set_prefixes(sets, sketch_bits, percent), groups), percent), "pairs")
+    groups = components(edges.unionByName(scratch.settle(confirmed(pairs, sets, percent), "links")), scratch, "groups")
 
     named = classes.join(groups, "id", "left").select("d1", "d2", "n_shingles", "id", F.coalesce("component", "id").alias("component"), "copies")
     # only classes that don't simply stand for themselves go into the join
@@ -243,9 +259,8 @@ def near_duplicates(
     )
 
 
-def _shingle_sets(docs: DataFrame, id_column: str, text_column: str, shingle: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, shingles) of the classes in pairs; texts are read again and filtered where they are, not shuffled."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+def _shingle_sets(docs: DataFrame, id_column: str, text_column: str, shingle: int, ids: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, shingles) of some classes; texts are read again and filtered where they are, not shuffled."""
     wanted = bitmap(ids, F.xxhash64("id"), FILTER_BITS)
 
     def build(batches):
@@ -269,18 +284,23 @@ def _shingle_sets(docs: DataFrame, id_column: str, text_column: str, shingle: in
     return built.join(classes.join(ids, "id").select("id", "d1"), ["id", "d1"]).select("id", "shingles")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+
 def _with_group(left: DataFrame, groups: DataFrame | None) -> DataFrame:
     if groups is None:
         return left.withColumn("component", F.col("id"))
-    return left.join(groups, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("component"))
+    return left.join(groups, "id", "left").select(*left.columns, F.coalesce("component", "id").alias("component"))
 
 
 def _largest(members: DataFrame, turn: int) -> DataFrame:
     """Per token with several components: the one with most members there, and one member of it as leader."""
-    draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), F.col("id").alias("id"), F.col("n").alias("n"))
-    by_group = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"), F.min(draw).alias("one"))
-    # among equally large ones the smallest draw wins, for each token the same
-    best = F.max(F.struct(F.col("c"), (-F.col("one.draw").cast("decimal(20,0)")).alias("o"), "component", F.col("one.id").alias("leader"), F.col("one.n").alias("leader_n")))
+    # the most central member leads; in later turns others that are nearly as central get their chance
+    share = 1.0 if turn == 0 else F.lit(0.85) + F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1000)) * 0.00015
+    draw = F.struct((F.col("central") * share).alias("central"), F.col("id").alias("id"), F.col("n").alias("n"))
+    by_group = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"), F.max(draw).alias("one"))
+    best = F.max(F.struct("c", F.col("one.central").alias("central"), "component", F.col("one.id").alias("leader"), F.col("one.n").alias("leader_n")))
     per = by_group.groupBy("token").agg(best.alias("best"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
     return per.select("token", F.col("best.component").alias("main"), F.col("best.leader").alias("leader"), F.col("best.leader_n").alias("leader_n"))
 
@@ -292,13 +312,57 @@ def _leader_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     return pairs.where(F.col("c") >= COLLISIONS).select("a", "b")
 
 
+def set_prefixes(sets: DataFrame, sketch_bits: int, percent: int) -> DataFrame:
+    """(token, id, n, central, place): the rarest shingles of each set, as many as a pair needs to share one of them.
+
+    Sets that reach the similarity have at least percent / (100 + percent) of their added sizes in common, so the first
+    shingle they share, from rare to frequent, comes early in both. Frequencies are a sketch of fixed size.
+    """
+
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        raw = column.to_pylist()
+        return np.frombuffer(b"".join(raw), U64), np.array([len(r) // 8 for r in raw])
+
+    def count(batches):
+        total = np.zeros(1 << sketch_bits, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                total += np.bincount((mix(flat(batch.column(1))[0]) >> U64(64 - sketch_bits)).astype(np.int64), minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(total[found])], ["bucket", "n"])
+
+    sketch = _gathered(sets.select("id", "shingles").mapInArrow(count, "bucket int, n long"), sketch_bits)
+
+    def post(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            shingles, sizes = flat(batch.column(1))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((shingles, sketch[(mix(shingles) >> U64(64 - sketch_bits)).astype(np.int64)], row))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = place <= sizes[row] - -(-percent * sizes[row] // 100)
+            at = row[keep]
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[at]
+            yield pa.record_batch(
+                [pa.array(signed(shingles[order][keep])), pa.array(ids), pa.array(sizes[at]), pa.array(np.zeros(len(at), np.int64)), pa.array(place[keep])],
+                ["token", "id", "n", "central", "place"],
+            )
+
+    return sets.select("id", "shingles").mapInArrow(post, "token long, id long, n long, central long, place long")
+
+
 def _other_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a token across components: members outside the largest component with every other member."""
-    main = _largest(members, -1).select("token", "main")
+    """Pairs across components that share a shingle early enough in both sets (members of ``set_prefixes``).
+
+    Members outside the largest component of a shingle meet every other member; two of them meet from the smaller id.
+    """
+    main = _largest(members, 0).select("token", "main")
     marked = members.join(main, "token")
-    minor = marked.where("component <> main").select("token", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("component").alias("pc"))
-    other = marked.select("token", F.col("id").alias("q"), F.col("n").alias("qn"), F.col("component").alias("qc"), (F.col("component") == F.col("main")).alias("major"))
-    # two minor members meet twice; the pair counts from the smaller id
-    rows = minor.join(other, "token").where("pc <> qc and (major or p < q)").where(_alike("pn", "qn", percent))
-    pairs = rows.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    return pairs.where(F.col("c") >= COLLISIONS).select("a", "b")
+    minor = marked.where("component <> main").select("token", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("component").alias("pc"))
+    other = marked.select("token", F.col("id").alias("q"), F.col("n").alias("qn"), F.col("place").alias("qp"), F.col("component").alias("qc"), (F.col("component") == F.col("main")).alias("major"))
+    # if this is the first shingle they share, what comes after it in either must be enough
+    early = F.expr(f"pn - pp >= ({percent} * (pn + qn) + {99 + percent}) div {100 + percent} and qn - qp >= ({percent} * (pn + qn) + {99 + percent}) div {100 + percent}")
+    across = F.expr("pc <> qc and (major or p < q)") & _alike("pn", "qn", percent) & early
+    rows = minor.join(other, (minor["token"] == other["token"]) & across)
+    return rows.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
