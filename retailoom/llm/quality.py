@@ -14,6 +14,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailoom.llm.store import bounded_batches
+
 BLOCK = 512
 DICT_BYTES = 112 * 1024
 LEVEL = 3
@@ -101,6 +103,7 @@ def train(
     left out. Two thirds of the sample make the dictionaries, the rest the curve, weighted back to the shares of the two
     labels among all rows. Without rows of both labels every score is the share of label 1 (0.5 if there are none).
     """
+    bounded_batches(docs.sparkSession)
     known = labels.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("other")).where("y = other").select("id", "y")
     counts = {row.y: row.n for row in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}

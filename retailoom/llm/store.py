@@ -9,6 +9,21 @@ from pyspark.sql import functions as F
 from retailoom.session import shared_folder
 
 
+# Python workers get whole texts in batches of this many rows and bytes at most
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep what a Python worker holds at once small, however long the texts are."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        held = spark.conf.get(key, None)
+        digits = "".join(c for c in held or "" if c.isdigit())
+        if held is None or not held.isdigit() or int(digits) > most or int(digits) <= 0:
+            spark.conf.set(key, str(most))
+
+
 class Scratch:
     """Stored steps of one run, in a folder of its own below the cluster's shared folder.
 
@@ -19,6 +34,7 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4()}"
         self.steps = 0
+        bounded_batches(spark)
 
     def settle(self, frame: DataFrame, name: str) -> DataFrame:
         self.steps += 1
