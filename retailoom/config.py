@@ -50,8 +50,11 @@ CONSISTENCY_TOLERANCE = "1.0"
 
 DATE_DIM_DAYS = 1096
 
+# days before and after are taken for typing errors: no calendar day is made for them
+CALENDAR_FIRST_DAY = "1900-01-01"
+CALENDAR_LAST_DAY = "2199-12-31"
+
 # --- scale ---------------------------------------------------------------------------------------
 
-# A dimension is broadcast only after its rows were counted and found to be at most this many
-# (about 100 MB once pruned to the columns a join needs). Larger ones take a shuffle join.
-BROADCAST_MAX_ROWS = 500_000
+# remainders of a day fall into this many ranges when left-over orders are shared out
+REMAINDER_RANGES = 4096

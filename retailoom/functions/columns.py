@@ -53,6 +53,11 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def day_of_key(key: Column) -> Column:
+    """The date of a date key."""
+    return F.make_date((key / 10000).cast("int"), (key / 100).cast("int") % 100, key % 100)
+
+
 def month_of_key(key: Column) -> Column:
     """``yyyy-MM`` of a date key."""
     month = (key / 100).cast("int")

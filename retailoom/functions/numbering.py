@@ -32,10 +32,9 @@ def number_rows(
     before = F.sum("count").over(Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select(bucket, F.coalesce(before, F.lit(0)).alias("_before"))
     here = F.row_number().over(Window.partitionBy(bucket).orderBy(*order_by))
-    # one row per bucket, and the buckets are a fixed number of hash prefixes
     return (
         rows.withColumn("_here", here)
-        .join(F.broadcast(offsets), bucket)
+        .join(offsets, bucket)  # one row per bucket: small enough that Spark broadcasts it by itself
         .withColumn(into, F.col("_before") + F.col("_here"))
         .drop("_here", "_before", bucket)
     )
@@ -60,10 +59,12 @@ def surrogate_key(rows: DataFrame, business_id: str, into: str, existing: DataFr
 
 
 def _one_row_per_id(bucketed: DataFrame, business_id: str) -> DataFrame:
+    """The smallest row of each id, found on the map side first: an id with very many rows is a few when it moves."""
     others = [c for c in bucketed.columns if c not in (business_id, "_bucket")]
-    first = F.row_number().over(Window.partitionBy("_bucket", business_id).orderBy(*(others or [business_id])))
-    # this exchange serves both the window here and the numbering window above it
-    return bucketed.repartition("_bucket").withColumn("_first", first).filter("_first = 1").drop("_first")
+    smallest = F.min(F.struct(*others)).alias("_row") if others else F.lit(None).alias("_row")
+    return bucketed.groupBy("_bucket", business_id).agg(smallest).select(
+        business_id, "_bucket", *[F.col(f"_row.`{c}`").alias(c) for c in others]
+    )
 
 
 def number_by_hash(rows: DataFrame, unique_id: str, into: str) -> DataFrame:

@@ -34,19 +34,24 @@ def split_paid(traffic: DataFrame) -> DataFrame:
     within = Window.partitionBy("bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     runs = (
         distinct.withColumn("before", F.coalesce(F.sum("copies").over(within), F.lit(0)))
-        .join(F.broadcast(offsets), "bucket")  # one row per hash prefix
+        .join(offsets, "bucket")  # one row per hash prefix
         .withColumn("first", F.col("offset") + F.col("before") + 1)
         .withColumn("last", F.col("first") + F.col("copies") - 1)
     )
-    return (
-        runs.withColumn("chunk", F.explode(F.sequence("first", "last", F.lit(ID_CHUNK).cast("bigint"))))
-        .withColumn("chunk_end", F.least(F.col("last"), F.col("chunk") + ID_CHUNK - 1))
-        .withColumn("number", F.explode(F.sequence("chunk", "chunk_end")))
-        .select(
-            F.format_string("PM%08d", "number").alias("promotion_id"),
-            *content,
-            C.percent(F.col("clicks"), F.col("impressions")).alias("ctr"),
-        )
+    # a long run is cut, and its parts are dealt to other tasks before they become rows
+    long = runs.filter(F.col("copies") > ID_CHUNK)
+    parts = long.withColumn("part", F.explode(F.sequence("first", "last", F.lit(ID_CHUNK).cast("bigint"))))
+    parts = (
+        parts.withColumn("last", F.least(F.col("last"), F.col("part") + ID_CHUNK - 1))
+        .withColumn("first", F.col("part"))
+        .drop("part")
+        .repartition("first")
+    )
+    numbered = runs.filter(F.col("copies") <= ID_CHUNK).unionByName(parts)
+    return numbered.withColumn("number", F.explode(F.sequence("first", "last"))).select(
+        F.format_string("PM%08d", "number").alias("promotion_id"),
+        *content,
+        C.percent(F.col("clicks"), F.col("impressions")).alias("ctr"),
     )
 
 
@@ -100,10 +105,11 @@ def sku_store_daily_clicks(traffic: DataFrame) -> DataFrame:
 def allocate_orders(clicks: DataFrame, per_day: int) -> DataFrame:
     """Share out ``per_day`` orders of each day by clicks x conversion rate of the tier.
 
-    Every row gets the whole part of its share; the orders left over go to the largest remainders. To
-    find these without sorting a day in one task, the rows of a day fall into buckets of equal
-    remainder and hash prefix. Only the bucket sizes are ordered per day, and rows are numbered inside
-    their bucket. Weights are integers, so that every engine gets the same remainders.
+    Every row gets the whole part of its share; the orders left over go to the largest remainders, ties
+    by hash. No day is sorted: the remainders of a day fall into ``REMAINDER_RANGES`` ranges, and their
+    row counts tell the one range where the left-over orders run out. Ranges above it get one order per
+    row, those below none; only rows of that range are ranked, in buckets of equal remainder and hash
+    prefix. Weights are integers, so that every engine gets the same remainders.
     """
     weighted = clicks.withColumn("weight", F.col("clicks") * C.conversion_rate(F.col("product_tier"))).filter(
         "weight > 0"
@@ -111,22 +117,32 @@ def allocate_orders(clicks: DataFrame, per_day: int) -> DataFrame:
     days = weighted.groupBy("date").agg(F.sum("weight").alias("day_weight"))
     whole = F.floor(F.expr(f"({per_day} * weight) div day_weight")).cast("bigint")
     shares = (
-        weighted.join(F.broadcast(days), "date")  # one row per calendar day
+        weighted.join(days, "date")
         .withColumn("whole", whole)
         .withColumn("remainder", F.expr(f"({per_day} * weight) % day_weight"))
+        .withColumn("range", F.expr(f"(cast(remainder as decimal(38,0)) * {config.REMAINDER_RANGES}) div day_weight"))
         .withColumn("tie", hash_bucket("sku_id", "store_id"))
     )
-    bucket = ["date", "remainder", "tie"]
-    sizes = shares.groupBy(*bucket).agg(F.count("*").alias("rows"), F.sum("whole").alias("given"))
+    ranges = shares.groupBy("date", "range").agg(F.count("*").alias("rows"), F.sum("whole").alias("given"))
     day = Window.partitionBy("date")
-    largest_first = day.orderBy(F.desc("remainder"), "tie").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *bucket,
-        F.coalesce(F.sum("rows").over(largest_first), F.lit(0)).alias("before"),
-        (per_day - F.sum("given").over(day)).alias("left_over"),
+    above = day.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    # orders that are left for a range and those below it: at most REMAINDER_RANGES rows a day
+    rests = ranges.select(
+        "date",
+        "range",
+        "rows",
+        (per_day - F.sum("given").over(day) - F.coalesce(F.sum("rows").over(above), F.lit(0))).alias("rest"),
     )
+    dealt = shares.join(rests, ["date", "range"])
+    clear = dealt.filter("rest <= 0 or rest >= rows").withColumn("extra", F.when(F.col("rest") > 0, 1).otherwise(0))
+    edge = dealt.filter("rest > 0 and rest < rows")
+    bucket = ["date", "remainder", "tie"]
+    sizes = edge.groupBy(*bucket).agg(F.count("*").alias("size"))
+    largest_first = day.orderBy(F.desc("remainder"), "tie").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*bucket, F.coalesce(F.sum("size").over(largest_first), F.lit(0)).alias("before"))
     place = F.row_number().over(Window.partitionBy(*bucket).orderBy("sku_id", "store_id")) + F.col("before")
-    return shares.join(offsets, bucket).select(
+    ranked = edge.join(offsets, bucket).withColumn("extra", F.when(place <= F.col("rest"), 1).otherwise(0))
+    return clear.unionByName(ranked.drop("before")).select(
         "date",
         "sku_id",
         "store_id",
@@ -134,7 +150,7 @@ def allocate_orders(clicks: DataFrame, per_day: int) -> DataFrame:
         "product_id",
         "flow_type",
         "weight",
-        (F.col("whole") + F.when(place <= F.col("left_over"), 1).otherwise(0)).alias("orders"),
+        (F.col("whole") + F.col("extra")).alias("orders"),
     )
 
 
@@ -167,17 +183,17 @@ def product_stats(products: DataFrame) -> DataFrame:
 def order_line_rollup(details: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Amount, cost and freight of each order from its lines, at the price and cost of the product.
 
-    The order counts as paid, and as having a cost, only once it is finished.
+    Lines of unknown SKUs keep their own amount; they cost nothing and have the freight of other goods. The order counts as paid, and as having a cost, only once it is finished.
     """
     quantity = F.col("quantity")
     lines = (
         details.groupBy("order_id", "sku_id")
-        .agg(C.units("quantity").alias("quantity"))
-        .join(products.select("sku_id", "price", "cost", "category_l1"), "sku_id")
+        .agg(C.units("quantity").alias("quantity"), F.sum("amount").alias("amount"))
+        .join(products.select("sku_id", "price", "cost", "category_l1"), "sku_id", "left")
     )
     sums = lines.groupBy("order_id").agg(
-        C.money(F.sum(F.col("price") * quantity)).alias("total_amount"),
-        C.money(F.sum(F.col("cost") * quantity)).alias("item_cost"),
+        C.money(F.sum(F.coalesce(F.col("price") * quantity, F.col("amount")))).alias("total_amount"),
+        C.money(F.sum(F.coalesce(F.col("cost"), F.lit(0)) * quantity)).alias("item_cost"),
         C.money(F.sum(C.unit_freight(F.col("category_l1")) * quantity)).alias("shipping_fee"),
     )
     finished = F.col("order_status") == config.ORDER_FINISHED

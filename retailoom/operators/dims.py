@@ -1,6 +1,8 @@
 """Dimensions of the star schema."""
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +20,16 @@ def dim_date(spark: SparkSession, end: dt.date | None = None, days: int = config
     return _calendar(bounds)
 
 
-def dim_date_of(facts: DataFrame, day: str) -> DataFrame:
-    """Calendar from the first to the last day found in ``facts``."""
-    moment = F.col(day).cast("date")
-    return _calendar(facts.agg(F.min(moment).alias("first_day"), F.max(moment).alias("last_day")))
+def dim_date_over(tables: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """Calendar from the first to the last day found in the tables (rows, their day); absurd days don't count."""
+
+    def bounds(rows: DataFrame, day: str) -> DataFrame:
+        moment = F.col(day).cast("date")
+        some = moment.between(F.lit(config.CALENDAR_FIRST_DAY).cast("date"), F.lit(config.CALENDAR_LAST_DAY).cast("date"))
+        return rows.where(some).agg(F.min(moment).alias("first_day"), F.max(moment).alias("last_day"))
+
+    every = reduce(DataFrame.unionByName, [bounds(rows, day) for rows, day in tables])
+    return _calendar(every.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")))
 
 
 def _calendar(bounds: DataFrame) -> DataFrame:

@@ -23,10 +23,17 @@ def stamped(facts: DataFrame, as_of: dt.datetime | None) -> DataFrame:
 def fact_order(
     orders: DataFrame, dim_user: DataFrame, dim_store: DataFrame, as_of: dt.datetime | None = None
 ) -> DataFrame:
-    """Orders of known users and stores; the others are left out."""
+    """Orders of known users and stores; the others are left out. A repeated order id keeps its smallest row."""
     cost = F.coalesce("total_cost", F.lit(0))
-    facts = (
+    others = [c for c in orders.columns if c != "order_id"]
+    single = (
         orders.filter("order_id is not null")
+        .groupBy("order_id")
+        .agg(F.min(F.struct(*others)).alias("_row"))
+        .select("order_id", *[F.col(f"_row.`{c}`").alias(c) for c in others])
+    )
+    facts = (
+        single
         .join(dim_user.select("user_id", "user_key"), "user_id")
         .join(dim_store.select("store_id", "store_key"), "store_id")
         .select(

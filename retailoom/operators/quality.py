@@ -163,6 +163,25 @@ def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> D
     return _union([count_of(name, table) for name, table in tables.items()])
 
 
+def calendar_coverage(calendar: DataFrame, tables: Mapping[str, DataFrame], days: Mapping[str, str]) -> DataFrame:
+    """Rows with a day per table, and how many of them have their day in the calendar."""
+
+    def covered(name: str, rows: DataFrame) -> DataFrame:
+        by_day = rows.groupBy(F.col(days[name]).cast("date").alias("date_value")).agg(F.count("*").alias("rows"))
+        known = calendar.select("date_value", F.lit(1).alias("known"))
+        return (
+            by_day.filter("date_value is not null")
+            .join(known, "date_value", "left")
+            .agg(
+                C.units("rows").alias("row_count"),
+                F.coalesce(F.sum(F.when(F.col("known") == 1, F.col("rows"))), F.lit(0)).cast("bigint").alias("covered_count"),
+            )
+            .select(F.lit(name).alias("table_name"), "row_count", "covered_count")
+        )
+
+    return _union([covered(name, rows) for name, rows in tables.items()])
+
+
 def duplicate_keys(table: DataFrame, *key: str) -> DataFrame:
     """Keys that occur more than once, or are NULL, in a table where they should be unique."""
     return (

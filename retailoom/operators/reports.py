@@ -71,7 +71,7 @@ def _profit_and_loss(rows: DataFrame) -> DataFrame:
     )
     net = (F.col("gross_profit") - F.col("promo_cost") - fees).cast("decimal(22,4)")
     return sums.select(
-        F.col("date_value").alias("date"),
+        C.day_of_key(F.col("date_key")).alias("date"),
         "platform",
         "store_name",
         "product_id",
@@ -99,7 +99,7 @@ def _profit_and_loss(rows: DataFrame) -> DataFrame:
 
 
 def daily_report(
-    sales: DataFrame, fact_promotion: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_product: DataFrame
+    sales: DataFrame, fact_promotion: DataFrame, dim_store: DataFrame, dim_product: DataFrame
 ) -> DataFrame:
     """Daily profit and loss per platform, store and SKU, with promotion spend that sold nothing.
 
@@ -110,7 +110,6 @@ def daily_report(
     )
     rows = (
         _sales_and_promotion(sales, fact_promotion)
-        .join(F.broadcast(dim_date.select("date_key", "date_value")), "date_key", "left")  # one row per calendar day
         .join(dim_store.select("store_key", "store_name"), "store_key", "left")
         .join(product, "product_key", "left")
     )
@@ -180,14 +179,12 @@ def _to_spu(rows: DataFrame, dim_store: DataFrame, dim_product: DataFrame, store
     )
 
 
-def paid_traffic_by_channel(
-    fact_promotion: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_product: DataFrame
-) -> DataFrame:
+def paid_traffic_by_channel(fact_promotion: DataFrame, dim_store: DataFrame, dim_product: DataFrame) -> DataFrame:
     # combined by key first, so that a hot SKU is a few rows when it meets the dimensions
     by_key = fact_promotion.groupBy("date_key", "platform", "store_key", "product_key", "channel").agg(
         C.units("impressions").alias("impressions"), C.units("clicks").alias("clicks"), C.total("cost").alias("cost")
     )
-    dated = by_key.join(F.broadcast(dim_date.select("date_key", F.col("date_value").alias("date"))), "date_key")
+    dated = by_key.where("date_key is not null").withColumn("date", C.day_of_key(F.col("date_key")))
     sums = (
         _to_spu(dated, dim_store, dim_product, "store_key", "product_key")
         .groupBy(*SPU, "channel")
@@ -212,7 +209,7 @@ def natural_traffic_by_channel(product_traffic: DataFrame, dim_store: DataFrame,
     )
 
 
-def spu_sales(sales: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_product: DataFrame) -> DataFrame:
+def spu_sales(sales: DataFrame, dim_store: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Sales per SPU, store and day, apart for paid and natural traffic.
 
     Orders without a traffic source belong to neither.
@@ -223,7 +220,7 @@ def spu_sales(sales: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_p
         .groupBy("date_key", "platform", "store_key", "product_key", flow.alias("flow_type"))
         .agg(C.units("quantity").alias("quantity"), C.total("amount").alias("amount"))
     )
-    dated = by_key.join(F.broadcast(dim_date.select("date_key", F.col("date_value").alias("date"))), "date_key")
+    dated = by_key.where("date_key is not null").withColumn("date", C.day_of_key(F.col("date_key")))
     return (
         _to_spu(dated, dim_store, dim_product, "store_key", "product_key")
         .groupBy("date", "platform", "store_name", "product_id", "flow_type")

@@ -3,28 +3,27 @@
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from retailoom import config
 from retailoom.operators import derive, dims, facts, quality, reports, rollups, sales, summaries
 
 
-def lookup_side(dimension: DataFrame, rows: int, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast if its counted ``rows`` are few enough.
-
-    A larger one is joined by shuffle, where adaptive execution splits hot keys.
-    """
-    return F.broadcast(dimension) if rows <= max_rows else dimension
-
+# raw tables with a day of their own: the calendar covers them all
+RAW_DAY = {
+    "ods_orders": "order_time",
+    "ods_promotion": "date",
+    "ods_traffic": "date",
+    "ods_inventory": "date",
+    "ods_product_traffic": "date",
+}
 
 DIMENSIONS: dict[str, Callable[["Star"], DataFrame]] = {
-    "dim_date": lambda s: dims.dim_date_of(s["ods_orders"], "order_time"),
+    "dim_date": lambda s: dims.dim_date_over([(s[name], day) for name, day in RAW_DAY.items()]),
     "dim_user": lambda s: dims.dim_user(s["ods_users"], s.earlier("dim_user")),
     "dim_product": lambda s: dims.dim_product(s["ods_products"], s.earlier("dim_product")),
     "dim_store": lambda s: dims.dim_store(s["ods_stores"], s.earlier("dim_store")),
 }
 
-# raw table whose rows bound those of a dimension
+# dimensions with a key that is numbered here, and the raw tables they are made from
 DIMENSION_SOURCE = {"dim_user": "ods_users", "dim_product": "ods_products", "dim_store": "ods_stores"}
 
 FACTS: dict[str, Callable[["Star"], DataFrame]] = {
@@ -64,9 +63,7 @@ TOTALS: dict[str, Callable[["Star"], DataFrame]] = {
 }
 
 REPORTS: dict[str, Callable[["Star"], DataFrame]] = {
-    "daily_report": lambda s: reports.daily_report(
-        s["sales"], s["fact_promotion"], s["dim_date"], s["dim_store"], s["dim_product"]
-    ),
+    "daily_report": lambda s: reports.daily_report(s["sales"], s["fact_promotion"], s["dim_store"], s["dim_product"]),
     "platform_summary": lambda s: reports.platform_summary(s["daily_report"]),
     "store_ranking": lambda s: reports.store_ranking(s["daily_report"]),
     "traffic_report": lambda s: reports.traffic_report(
@@ -86,16 +83,16 @@ PARTS: dict[str, Callable[["Star"], DataFrame]] = {
     "daily_report_sales": lambda s: reports.daily_report_sales(s["daily_report"]),
     "daily_report_promo_only": lambda s: reports.daily_report_promo_only(s["daily_report"]),
     "paid_traffic_by_channel": lambda s: reports.paid_traffic_by_channel(
-        s["fact_promotion"], s["dim_date"], s["dim_store"], s["dim_product"]
+        s["fact_promotion"], s["dim_store"], s["dim_product"]
     ),
     "natural_traffic_by_channel": lambda s: reports.natural_traffic_by_channel(
         s["ods_product_traffic"], s["dim_store"], s["dim_product"]
     ),
-    "spu_sales": lambda s: reports.spu_sales(s["sales"], s["dim_date"], s["dim_store"], s["dim_product"]),
+    "spu_sales": lambda s: reports.spu_sales(s["sales"], s["dim_store"], s["dim_product"]),
     "order_wide": lambda s: summaries.order_wide(
-        s["ods_orders"], s["ods_order_details"], s.lookup("ods_users"), s.lookup("ods_stores"), s.lookup("ods_products")
+        s["ods_orders"], s["ods_order_details"], s["ods_users"], s["ods_stores"], s["ods_products"]
     ),
-    "detail_wide": lambda s: summaries.detail_wide(s["ods_order_details"], s.lookup("ods_products")),
+    "detail_wide": lambda s: summaries.detail_wide(s["ods_order_details"], s["ods_products"]),
 }
 
 DERIVED: dict[str, Callable[["Star"], DataFrame]] = {
@@ -106,7 +103,7 @@ DERIVED: dict[str, Callable[["Star"], DataFrame]] = {
     "initial_inventory": lambda s: derive.initial_inventory(s["ods_products"], s["ods_users"]),
     "product_stats": lambda s: derive.product_stats(s["ods_products"]),
     "order_line_rollup": lambda s: derive.order_line_rollup(
-        s["ods_order_details"], s["ods_orders"], s.lookup("ods_products")
+        s["ods_order_details"], s["ods_orders"], s["ods_products"]
     ),
 }
 
@@ -132,7 +129,6 @@ class Star(Mapping[str, DataFrame]):
         self._settle = settle or (lambda name, plan: plan)
         self._done = dict(given or {})
         self._earlier = earlier or {}
-        self._counted: dict[str, int] = {}
 
     def plan(self, name: str) -> DataFrame:
         """How the table is computed from the tables before it."""
@@ -145,10 +141,7 @@ class Star(Mapping[str, DataFrame]):
         if name in self.raw:
             return self.raw[name]
         if name not in self._done:
-            table = self._settle(name, self.plan(name))
-            if name in DIMENSION_SOURCE:
-                table = lookup_side(table, self._rows(DIMENSION_SOURCE[name]))
-            self._done[name] = table
+            self._done[name] = self._settle(name, self.plan(name))
         return self._done[name]
 
     @property
@@ -156,15 +149,6 @@ class Star(Mapping[str, DataFrame]):
         """Tables asked for so far."""
         return list(self._done)
 
-    def lookup(self, name: str) -> DataFrame:
-        """A raw table as the side of a join that is looked up in."""
-        return lookup_side(self.raw[name], self._rows(name))
-
-    def _rows(self, name: str) -> int:
-        if name not in self._counted:
-            self._counted[name] = self.raw[name].count()
-        return self._counted[name]
-
     def __iter__(self) -> Iterator[str]:
         return iter(PLANS)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from retailoom.functions import columns as C
 from retailoom.operators import quality
-from retailoom.plans.star import DAILY, DIMENSION_SOURCE, DIMENSIONS, FACTS, REPORTS, TOTALS, Star
+from retailoom.plans.star import DAILY, DIMENSION_SOURCE, DIMENSIONS, FACTS, RAW_DAY, REPORTS, TOTALS, Star
 from retailoom.schemas import RAW_COLUMNS, REPORT_LABELS
 from retailoom.sources.csv_files import write_csv
 from retailoom.sources.tables import TableStore
@@ -18,15 +18,6 @@ TABLES = (*DIMENSIONS, *FACTS, *DAILY, *TOTALS, *REPORTS)
 # stored by date, and refreshed by date
 DATED = frozenset({*FACTS, *DAILY, "daily_report", "traffic_report"})
 
-# how the raw tables tell the day of a row; order lines follow their order
-RAW_DAY = {
-    "ods_orders": "order_time",
-    "ods_promotion": "date",
-    "ods_traffic": "date",
-    "ods_inventory": "date",
-    "ods_product_traffic": "date",
-}
-
 UNIQUE = {
     "dim_date": ("date_key",),
     "dim_user": ("user_id",),
@@ -102,7 +93,7 @@ class Warehouse:
 
     def _on_days(self, name: str, date_keys: Sequence[int]) -> DataFrame:
         rows = self.raw[name]
-        if name not in RAW_DAY:
+        if name not in RAW_DAY:  # order lines follow their order
             return rows
         days = [dt.datetime.strptime(str(key), "%Y%m%d") for key in date_keys]
         moment = F.col(RAW_DAY[name])

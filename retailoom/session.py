@@ -1,7 +1,5 @@
 """Session settings."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # What the results depend on, plus how skewed joins are treated.
@@ -51,15 +49,3 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored").rstrip("/")
-
-
-def scratch_dir(spark: SparkSession) -> str | None:
-    """The shared folder for intermediate tables, as the cluster names it.
-
-    In local mode a temporary folder does if none is named; on a cluster there is then none.
-    """
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if named is None and context.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="retailoom-")
-    return named

@@ -1,5 +1,6 @@
 """Stored tables: one Parquet folder per table under a root folder that all executors share."""
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,18 @@ from pyspark.sql.utils import AnalysisException
 PARTITION = "date_key"
 
 
+def version_of(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A digest of the files below the paths: their names, lengths and times of change."""
+    files = []
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        statuses = system.listStatus(place)
+        files += [f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in statuses]
+    return hashlib.sha256("\n".join(files).encode()).hexdigest()[:16]
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -42,22 +55,21 @@ class TableStore:
             stored = self.read(name)
         return stored
 
+    def append(self, name: str, rows: DataFrame) -> DataFrame:
+        """Add rows to a table, which may not be there yet."""
+        rows.write.mode("append").parquet(self.path(name))
+        return self.read(name)
+
     def replace_dates(self, name: str, rows: DataFrame, date_keys: Sequence[int]) -> DataFrame:
         """Replace the partitions of ``date_keys`` with ``rows`` and leave the other dates alone.
 
         Dates for which there are no rows any more end up empty.
         """
         rows = rows.filter(F.col(PARTITION).isin(*date_keys))
-        (
-            _balanced(rows)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PARTITION)
-            .parquet(self.path(name))
-        )
-        stored = self.read(name)
-        filled = {row[0] for row in rows.select(PARTITION).distinct().collect()}  # at most the dates asked for
-        nothing = stored.drop(PARTITION).limit(0)
+        staged = self.replace(f"{name}__dates", rows, by_date=True)  # worked out once; what follows reads it back
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(self.path(name))
+        filled = {row[0] for row in staged.select(PARTITION).distinct().collect()}  # at most the dates asked for
+        nothing = self.read(name).drop(PARTITION).limit(0)
         for date_key in set(date_keys) - filled:
             nothing.write.mode("overwrite").parquet(f"{self.path(name)}/{PARTITION}={date_key}")
         return self.read(name)
@@ -67,12 +79,6 @@ class TableStore:
         return self.replace(name, rows)
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a table whose files split into fewer parts; a large table is left as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _balanced(rows: DataFrame) -> DataFrame:
     """Bring rows of a date together for writing; adaptive execution splits large dates and joins small ones."""
     return rows.hint("rebalance", PARTITION)

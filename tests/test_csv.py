@@ -40,6 +40,43 @@ def test_english_headers_in_any_order(spark, tmp_path):
     assert frame.first()["cost"] == D("1.50")
 
 
+@pytest.mark.parametrize(
+    "lines",
+    ["U1,a,男,18,京,2024-01-02,1,more\n", "U1,a,男\n", 'U1,"a\nb",男,18,京,2024-01-02,1\n'],
+    ids=["long", "short", "line break"],
+)
+def test_lines_that_do_not_fit_fail(spark, tmp_path, lines):
+    put(tmp_path, "ods_users", USERS + lines)
+    with pytest.raises(Exception, match="does not fit the header"):
+        csv_files.read_raw_csv(spark, str(tmp_path / "ods_users.csv"), "ods_users").collect()
+
+
+def test_line_breaks_in_fields(spark, tmp_path):
+    put(tmp_path, "ods_users", USERS + 'U1,"a\nb",男,18,京,2024-01-02,1\n')
+    store = TableStore(spark, str(tmp_path / "ods"))
+    assert csv_files.load_layer(spark, str(tmp_path), store, multi_line=True) == {"ods_users": None}
+    assert store.read("ods_users").first()["user_name"] == "a\nb"
+
+
+def test_files_with_different_headers_fail(spark, tmp_path):
+    folder = tmp_path / "ods_users.csv"
+    folder.mkdir()
+    (folder / "part-1.csv").write_text("user_id,user_name\nU1,a\n", encoding="utf-8")
+    (folder / "part-2.csv").write_text("user_name,user_id\nbob,U2\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_files.read_raw_csv(spark, str(folder), "ods_users").collect()
+
+
+def test_append_adds_rows(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "ods"))
+    for user in ("U1", "U2"):
+        put(tmp_path, "ods_users", USERS + f"{user},a,男,18,京,2024-01-02,1\n")
+        assert csv_files.load_layer(spark, str(tmp_path), store, mode="append") == {"ods_users": None}
+    assert sorted(r["user_id"] for r in store.read("ods_users").collect()) == ["U1", "U2"]
+    with pytest.raises(ValueError):
+        csv_files.load_layer(spark, str(tmp_path), store, mode="other")
+
+
 def test_round_trip_under_raw_headers(spark, tmp_path):
     schema = raw_schema("ods_orders")
     rows = [
@@ -79,7 +116,7 @@ def test_load_frames(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "ods"))
     frame = spark.createDataFrame([("S1", float("nan")), ("NaN", 2.0)], "`店铺ID` string, weight double")
     csv_files.load_frames({"ods_stores": frame}, store)
-    assert rows_of(store.read("ods_stores")) == [("S1", None), (None, 2.0)]
+    assert rows_of(store.read("ods_stores")) == [("NaN", 2.0), ("S1", None)]  # text in memory is meant as it is
 
 
 def test_preview(spark, tmp_path):

@@ -93,12 +93,16 @@ def test_product_stats(spark):
 
 def test_order_lines(spark):
     details = spark.createDataFrame(
-        [("O1", "K1", 2), ("O1", "K1", 1), ("O1", "K2", 1), ("O2", "K2", 5)], "order_id string, sku_id string, quantity int"
-    )
-    orders = spark.createDataFrame([("O1", "已完成"), ("O2", "已发货")], "order_id string, order_status string")
+        [
+            ("O1", "K1", 2, D("1")), ("O1", "K1", 1, D("1")), ("O1", "K2", 1, D("1")), ("O2", "K2", 5, D("1")),
+            ("O3", "K9", 2, D("7")),  # an unknown SKU: its own amount
+        ],
+        "order_id string, sku_id string, quantity int, amount decimal(12,2)",
+    )
+    orders = spark.createDataFrame([("O1", "已完成"), ("O2", "已发货"), ("O3", "已完成")], "order_id string, order_status string")
     products = spark.createDataFrame(
         [("K1", D("10"), D("6"), "整车-品牌"), ("K2", D("5"), D("2"), "骑行装备")],
         "sku_id string, price decimal(10,2), cost decimal(10,2), category_l1 string",
     )
     found = {r["order_id"]: tuple(r)[1:] for r in derive.order_line_rollup(details, orders, products).collect()}
-    assert found == {"O1": (35, 93, 35, 20), "O2": (25, 15, 0, 0)}
+    assert found == {"O1": (35, 93, 35, 20), "O2": (25, 15, 0, 0), "O3": (7, 6, 7, 0)}

@@ -77,6 +77,12 @@ def test_orders_without_user_or_store_are_left_out(orders):
     assert found[("O2",)]["profit_amount"] == D("-5.00")
 
 
+def test_a_repeated_order_counts_once(spark, orders, users, stores):
+    again = orders.select("order_id", "user_id", "store_id", "platform", "order_time", "order_status", "total_amount", "discount_amount",
+                          "shipping_fee", "final_amount", "total_cost", "payment_method", "traffic_source")
+    assert facts.fact_order(again.union(again), users, stores).count() == orders.count()
+
+
 def test_lines(spark, orders, products):
     rows = [
         ("D1", "O1", "K1", "P1", 2, D("50"), D("100")),

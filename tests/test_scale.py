@@ -10,7 +10,6 @@ from test_oracle import SF_DIR, normal
 import __spark_entry__ as registry
 from oracle.sql import statement
 from retailoom.operators import derive
-from retailoom.plans import star as star_module
 from retailoom.plans.star import DIMENSIONS, FACTS, Star
 from retailoom.session import SETTINGS, shuffle_partitions_for
 from retailoom.sources.tables import TableStore
@@ -87,9 +86,8 @@ def hot(spark, tmp_path_factory):
 
 
 @pytest.fixture
-def shuffled(spark, monkeypatch):
+def shuffled(spark):
     """Joins by shuffle, and partitions that count as skewed at a few KB."""
-    monkeypatch.setattr(star_module, "lookup_side", lambda dimension, rows: dimension)
     small = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -151,16 +149,6 @@ def test_adaptive_execution_splits_the_hot_join(spark, hot, shuffled):
     assert "skew=true" in plan_of(details)
 
 
-def test_dimensions_are_broadcast_only_when_small(spark):
-    frame = spark.range(10)
-    assert "BroadcastHashJoin" in plan_of(spark.range(5).join(star_module.lookup_side(frame, 10, 10), "id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "SortMergeJoin" in plan_of(spark.range(5).join(star_module.lookup_side(frame, 11, 10), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_settings(spark):
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
     assert shuffle_partitions_for(100 * 2**40, 8000) == 819_200

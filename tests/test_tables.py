@@ -1,7 +1,7 @@
 from conftest import rows_of
 
-from retailoom.session import scratch_dir
-from retailoom.sources.tables import TableStore, spread
+from retailoom.session import shared_folder
+from retailoom.sources.tables import TableStore
 
 
 def dated(spark, *rows):
@@ -39,11 +39,5 @@ def test_find(spark, tmp_path):
     assert store.find("t").count() == 1
 
 
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == cores
-    assert spread(spark.range(0, 100, 1, cores + 3), "id").rdd.getNumPartitions() == cores + 3
-
-
 def test_scratch_folder_is_the_one_named(spark):
-    assert scratch_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
