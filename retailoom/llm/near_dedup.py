@@ -232,12 +232,15 @@ def near_duplicates(
     able = left.groupBy("id").agg(F.count(F.lit(1)).alias("own"), F.sum("c").alias("central")).where(F.col("own") >= COLLISIONS)
     left = scratch.settle(left.join(able, "id").select("token", "id", "n", "central"), "able")
 
-    edges, groups = None, None
+    # the texts of one id are one node
+    several = full.groupBy("id").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo <> hi").select("id")
+    theirs = full.join(several, "id").select(F.col("id").alias("own"), "d1", "d2").join(classes, ["d1", "d2"])
+    edges = scratch.settle(theirs.select(F.least("own", "id").alias("a"), F.greatest("own", "id").alias("b")).where("a <> b"), "ids")
+    groups = None
     for turn in range(leader_rounds):
         pairs = scratch.settle(_leader_pairs(_with_group(left, groups), turn, percent), f"pairs-{turn}")
         sets = _shingle_sets(docs, id_column, text_column, shingle, _ends(pairs), classes)
-        found = scratch.settle(confirmed(pairs, sets, percent), f"links-{turn}")
-        edges = found if edges is None else edges.unionByName(found)
+        edges = edges.unionByName(scratch.settle(confirmed(pairs, sets, percent), f"links-{turn}"))
         groups = components(edges, scratch, f"groups-{turn}")
     # texts that still share enough tokens with texts of other components
     members = _with_group(left, groups)

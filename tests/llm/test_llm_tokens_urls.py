@@ -1,0 +1,155 @@
+"""Token counts against the tokenizer's library, the URL filter against the rules and a slow model."""
+
+import math
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from retailoom.llm import token_counts as T
+from retailoom.llm import url_filter as U
+from retailoom.llm.queries import URL_RULES
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def library_count(text):
+    return len(Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids)
+
+
+def odd_texts():
+    rng = random.Random(2)
+    texts = ["", "a<|endoftext|> b", "<|endoftext|><|endoftext|>", " x\n\n  y\t", "it's we'LL", "\u0000\u200b", "é \U0001f600 ǅ ٣٤ ½", "long " * 30_000]
+    ranges = ((32, 127), (128, 0x3000), (0x3000, 0xD7FF), (0xE000, 0x1FFFF))
+    return texts + ["".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(80)) for _ in range(60)]
+
+
+def test_fast_counts_are_the_library_s():
+    counter = T.TokenCounter(PATH)
+    assert counter.fast is not None
+    library = Tokenizer.from_file(PATH)
+    for text in odd_texts():
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_other_vocabularies_are_counted_by_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counter = T.TokenCounter(path)
+    assert counter.fast is None
+    assert counter.count("Some words, and more") == len(Tokenizer.from_file(path).encode("Some words, and more", add_special_tokens=False).ids)
+
+
+def test_cache(spark, tmp_path):
+    texts = [*odd_texts()[:12], None, "same", "same", "same"]
+    docs = spark.createDataFrame([(n, t, 1, "c") for n, t in enumerate(texts)] + [(0, "", 1, "c"), (None, "x", 1, "c")], "doc_id long, text string, n_tokens int, content string")
+    cache = str(tmp_path / "cache")
+    found = sorted(map(tuple, T.token_counts(docs, PATH, cache).collect()), key=repr)
+    assert len(found) == len(texts) + 2
+    for i, n_bytes, n_tokens, over in found:
+        text = "x" if i is None else texts[i] or ""
+        assert (n_bytes, n_tokens, over) == (len(text.encode()), library_count(text), library_count(text) > 512)
+    stored = spark.read.parquet(cache)
+    assert stored.count() == stored.select("content").distinct().count() == len({t or "" for t in texts} | {"x"})
+    # a second run encodes nothing, a new text one
+    assert sorted(map(tuple, T.token_counts(docs, PATH, cache).collect()), key=repr) == found
+    assert spark.read.parquet(cache).count() == stored.count()
+    more = docs.select("doc_id", "text").union(spark.createDataFrame([(99, "a new one")], "doc_id long, text string"))
+    T.token_counts(more, PATH, cache).collect()
+    assert spark.read.parquet(cache).count() == stored.count() + 1
+    # another tokenizer doesn't take these counts
+    other = public_tokenizers.path("word_bpe_49k.json")
+    assert T.token_counts(docs.where("doc_id = 13"), other, cache).first().n_tokens == T.TokenCounter(other).count("same")
+
+
+def test_empty_table_of_texts(spark):
+    assert T.token_counts(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+# --- URLs ---------------------------------------------------------------------------------------
+
+
+def judged_slowly(url):
+    at = (url or "").find("://")
+    rest = "" if url is None or at < 0 else url[at + 3 :]
+    n = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+    host = rest[:n].translate({ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    path = rest[n:]
+    path = path[: min([path.find(c) for c in "?#" if c in path] or [len(path)])]
+    best = None
+    for verdict, of_host, of_path in URL_RULES:
+        if (host == of_host or host.endswith("." + of_host)) and path.startswith(of_path) and (best is None or len(of_host + of_path) > len(best[0])):
+            best = (of_host + of_path, verdict)
+    return host, path, best
+
+
+URLS = [
+    None, "", "no scheme", "http://", "HTTP://WWW.Example.NET/en/1", "https://a.example.net/EN/x", "x://net", "x://net/", "ftp://a.b.net?q=/en/",
+    "https://example.com/de/", "https://xexample.com/de/1", "https://m.example.com/de", "http://example.org/fr/a#b", "http://org/fr/", "http://borg/fr/",
+    "http://É.net/ä", "https://example.net/en/?x", "https://u:p@h.example.org:80/fr/1", "https://a.com/" + "x" * 5000, "a://b://c.net/",
+]
+
+
+def test_rules(spark):
+    pages = spark.createDataFrame([(n, u, "h", 1) for n, u in enumerate([*URLS, URLS[4], URLS[4]])] + [(None, URLS[9], "h", 1)], "page_id long, url string, host string, rule int")
+    found = U.judged_urls(pages, URL_RULES).collect()
+    assert len(found) == len(URLS) + 3
+    for row in found:
+        url = URLS[9] if row.page_id is None else [*URLS, URLS[4], URLS[4]][row.page_id]
+        host, path, best = judged_slowly(url)
+        assert (row.host, row.path, row.rule) == (host, path, best and best[0])
+        assert row.verdict == best[1] if best else row.verdict in ("allow", "block") and row.difference is not None
+
+
+def test_model_against_slow_counts(spark):
+    """Differences worked out from plain dictionaries of all n-grams (no hashed table)."""
+    known = [(f"a.org/{n % 9}/good{n}", "allow") for n in range(60)] + [(f"b.net/{n % 7}?bad{n}", "block") for n in range(50)]
+    counts = U.model_counts(spark.createDataFrame(known, "address string, verdict string"))
+    for url in ("a.org/1/good99", "b.net/3?bad1", "", "zzz"):
+        slow = []
+        for label in U.CLASSES:
+            grams, contexts = {}, {}
+            for address, verdict in known:
+                if verdict == label:
+                    text = b"\x02" * U.ORDER + address.encode() + b"\x03"
+                    for end in range(U.ORDER, len(text)):
+                        for n in range(U.ORDER + 1):
+                            g, c = text[end - n : end + 1], text[end - n : end]
+                            grams[g] = grams.get(g, 0) + 1
+                            contexts[(n, c)] = contexts.get((n, c), 0) + 1
+            text = b"\x02" * U.ORDER + url.encode() + b"\x03"
+            total = 0.0
+            for end in range(U.ORDER, len(text)):
+                p = 1 / 256
+                for n in range(U.ORDER + 1):
+                    p = (grams.get(text[end - n : end + 1], 0) + U.CONCENTRATION * p) / (contexts.get((n, text[end - n : end]), 0) + U.CONCENTRATION)
+                total += math.log(p)
+            slow.append(total)
+        assert U.differences(url, counts) == pytest.approx((slow[0] - slow[1]) / (len(url) + 1), abs=0.05)
+
+
+def test_model_tells_held_out_urls_apart(spark):
+    rng = random.Random(4)
+    pages = [(n, f"http://h{n % 40}.org/fr/{''.join(rng.choices(('news', 'story', 'maison'), k=3))}/{n}") for n in range(400)]
+    pages += [(1000 + n, f"http://k{n % 40}.net/{''.join(rng.choices(('casino', 'win', 'bonus'), k=3))}/{n}") for n in range(400)]
+    pages += [(5000 + n, f"http://q{n}.com/x/{'newsstory' if n % 2 else 'casinowin'}/{n}") for n in range(100)]
+    found = {r.page_id: r.verdict for r in U.judged_urls(spark.createDataFrame(pages, "page_id long, url string"), URL_RULES).collect()}
+    right = np.mean([found[5000 + n] == ("allow" if n % 2 else "block") for n in range(100)])
+    assert right >= 0.95
+
+
+def test_no_rules_and_no_pages(spark):
+    schema = "page_id long, url string"
+    assert U.judged_urls(spark.createDataFrame([], schema), URL_RULES).count() == 0
+    (row,) = U.judged_urls(spark.createDataFrame([(1, "http://a.com/")], schema), []).collect()
+    assert (row.rule, row.verdict, row.difference) == (None, "allow", 0.0)
+
+
+def test_held_out_rows_are_by_crc32(spark):
+    from retailoom.llm.queries import held_out
+
+    rows = spark.range(200).select(F.col("id").alias("doc_id")).select("doc_id", held_out().alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
