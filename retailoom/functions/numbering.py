@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_DIGITS = 3  # 4096 buckets
+RANGES = 256  # of a measure that rows are ranked by
 
 
 def hash_bucket(*columns: str, digits: int = HASH_DIGITS) -> Column:
@@ -40,6 +41,27 @@ def number_rows(
     )
 
 
+def rank_rows(rows: DataFrame, measure: str, into: str, ties: Sequence[str], within: str | None = None) -> DataFrame:
+    """Rank rows 1..n by ``measure``, largest first and NULL last, then by ``ties``; apart for each value of ``within``.
+
+    Quantiles of the measure cut the rows into ranges. Each range is ranked by itself and shifted by the rows of the
+    ranges before it, so no task sees more than a range (and rows of equal measure).
+    """
+    keys = [within] if within else []
+    cuts = F.percentile_approx(measure, [n / RANGES for n in range(1, RANGES)], 100 * RANGES)
+    above = F.size(F.filter("_cuts", lambda cut: cut > F.col(measure)))
+    ranged = rows.withColumn("_cuts", rows.select(cuts).scalar()).withColumn("_range", F.when(F.col(measure).isNull(), RANGES).otherwise(above))
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_at"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    same = F.col("_range") == F.col("_at")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    here = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(F.col(measure).desc_nulls_last(), *ties))
+    ranked = ranged.withColumn("_here", here).join(offsets, same)
+    return ranked.withColumn(into, (F.col("_before") + F.col("_here")).cast("int")).select(*rows.columns, into)
+
+
 def surrogate_key(rows: DataFrame, business_id: str, into: str, existing: DataFrame | None = None) -> DataFrame:
     """One row per business id with a dense BIGINT key.
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from retailoom import config
 from retailoom.functions import columns as C
+from retailoom.functions.numbering import rank_rows
 
 SALE_KEY = ["date_key", "store_key", "product_key"]
 
@@ -149,22 +150,15 @@ def platform_summary(report: DataFrame) -> DataFrame:
 
 
 def store_ranking(report: DataFrame) -> DataFrame:
-    """Stores by sales and by net profit. The windows see one row per store, after aggregation."""
-
-    def rank(measure: str) -> Column:
-        return F.row_number().over(Window.orderBy(F.desc(measure), "platform", "store_name"))
-
+    """Stores by sales and by net profit."""
     sums = report.groupBy("platform", "store_name").agg(
         C.units("order_count").alias("order_count"),
         C.total("sales_amount").alias("sales_amount"),
         C.total("net_profit").alias("net_profit"),
     )
-    return sums.select(
-        "*",
-        C.percent(F.col("net_profit"), F.col("sales_amount")).alias("net_rate"),
-        rank("sales_amount").alias("sales_rank"),
-        rank("net_profit").alias("profit_rank"),
-    )
+    rated = sums.select("*", C.percent(F.col("net_profit"), F.col("sales_amount")).alias("net_rate"))
+    by_sales = rank_rows(rated, "sales_amount", "sales_rank", ["platform", "store_name"])
+    return rank_rows(by_sales, "net_profit", "profit_rank", ["platform", "store_name"])
 
 
 # --- traffic report ------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from retailoom import config
 from retailoom.functions import columns as C
+from retailoom.functions.numbering import rank_rows
 from retailoom.operators.rollups import category_rollup, completed, order_measures, profit_rate, trade_product_1d
 from retailoom.operators.sales import sales_measures
 
@@ -144,9 +145,8 @@ def user_level_analysis(user_total: DataFrame) -> DataFrame:
 
 
 def store_leaderboard(store_total: DataFrame) -> DataFrame:
-    """Stores by sales, over all and within their platform. The windows see one row per store."""
-    by_sales = [F.desc("sales_amount"), F.col("store_id")]
-    return store_total.select(
+    """Stores by sales, over all and within their platform."""
+    stores = store_total.select(
         "store_id",
         "store_name",
         "platform",
@@ -156,9 +156,9 @@ def store_leaderboard(store_total: DataFrame) -> DataFrame:
         "profit_amount",
         "avg_order_amount",
         "profit_rate",
-        F.row_number().over(Window.orderBy(*by_sales)).alias("overall_rank"),
-        F.row_number().over(Window.partitionBy("platform").orderBy(*by_sales)).alias("platform_rank"),
     )
+    overall = rank_rows(stores, "sales_amount", "overall_rank", ["store_id"])
+    return rank_rows(overall, "sales_amount", "platform_rank", ["store_id"], within="platform")
 
 
 # --- summary queries -----------------------------------------------------------------------------

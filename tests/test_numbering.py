@@ -1,6 +1,6 @@
 from conftest import rows_of
 
-from retailoom.functions.numbering import number_by_hash, surrogate_key
+from retailoom.functions.numbering import number_by_hash, rank_rows, surrogate_key
 
 
 def test_keys_are_dense_and_one_per_id(spark):
@@ -30,3 +30,15 @@ def test_known_ids_keep_their_key(spark):
     assert len(new) == 150
     assert all(new[i] == old[i] for i in new if i in old)
     assert sorted(k for i, k in new.items() if i not in old) == list(range(101, 201))
+
+
+def test_ranks_by_ranges(spark):
+    rows = [(n, n % 3, None if n % 50 == 0 else (n * 7919) % 300) for n in range(1000)]
+    frame = spark.createDataFrame(rows, "k int, g int, v int")
+    found = {r["k"]: (r["all_rank"], r["own_rank"]) for r in rank_rows(rank_rows(frame, "v", "all_rank", ["k"]), "v", "own_rank", ["k"], within="g").collect()}
+    order = sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))
+    expected = {k: (n + 1,) for n, (k, _, _) in enumerate(order)}
+    for g in range(3):
+        for n, (k, _, _) in enumerate(r for r in order if r[1] == g):
+            expected[k] += (n + 1,)
+    assert found == expected
