@@ -29,13 +29,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
     """(id, component) of every node with an edge; component is the smallest node reachable.
 
     ``edges`` has two long columns a and b. A node with very many edges is a long list of rows, never one group: per
-    node only a minimum is taken. Each half step is stored, so the plan stays short. Nodes without edges don't appear.
+    node only a minimum is taken. Each step is stored, so the plan stays short. Nodes without edges don't appear.
     """
     edges = edges.where("a <> b").distinct()
     before = None
     while True:
-        edges = scratch.settle(_stars(edges, small=False), f"{name}-large")
-        edges = scratch.settle(_stars(edges, small=True), f"{name}-small")
+        edges = scratch.settle(_stars(_stars(edges, small=False), small=True), name)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             break

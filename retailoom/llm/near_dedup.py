@@ -10,8 +10,8 @@
 
 A group of many similar texts is never spelled out in pairs. Leader rounds link members of a posting list to its most
 central one, and pairs inside one component are skipped from then on. Texts that still share enough tokens with texts of
-other components are joined by the rarest shingles of their full sets, which loses no pair of the wanted similarity and
-lets through few others. A pair of similarity 0.8 agrees in a coordinate with probability 0.64, and in fewer than 6 of
+other components are joined by the rarest shingles of their full sets, first with one leader per shingle, then with all
+of other components; this loses no pair of the wanted similarity and lets through few others. A pair of similarity 0.8 agrees in a coordinate with probability 0.64, and in fewer than 6 of
 32 with one in a million; unrelated texts hardly ever agree in any.
 """
 
@@ -30,7 +30,7 @@ COORDINATES = 32
 MATCHES = 6
 COLLISIONS = 3
 SKETCH_BITS = 18
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
 FILTER_BITS = 1 << 23
 
 _SEEDS = mix(np.arange(1, 4 * COORDINATES + 1, dtype=U64))
@@ -247,8 +247,16 @@ def near_duplicates(
     mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
     ids = members.join(mixed, "token").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COLLISIONS).select("id")
     sets = scratch.settle(_shingle_sets(docs, id_column, text_column, shingle, scratch.settle(ids, "open"), classes), "open-sets")
-    pairs = scratch.settle(_other_pairs(_with_group(set_prefixes(sets, sketch_bits, percent), groups), percent), "pairs")
-    groups = components(edges.unionByName(scratch.settle(confirmed(pairs, sets, percent), "links")), scratch, "groups")
+    prefixes = scratch.settle(set_prefixes(sets, sketch_bits, percent), "prefixes")
+    often = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    central = prefixes.join(often, "token").groupBy("id").agg(F.sum("c").alias("central"))
+    prefixes = scratch.settle(prefixes.join(often, "token").join(central, "id").select("token", "id", "n", "central", "place"), "rare")
+    # first to the leaders of rare shingles, which are the roots of groups within groups; then what is left
+    for name, candidates in (("leaders", _leader_pairs), ("others", _other_pairs)):
+        members = _with_group(prefixes, groups)
+        pairs = candidates(members, 0, percent, 1) if name == "leaders" else candidates(members, percent)
+        edges = edges.unionByName(scratch.settle(confirmed(scratch.settle(pairs, f"pairs-{name}"), sets, percent), f"links-{name}"))
+        groups = components(edges, scratch, f"groups-{name}")
 
     named = classes.join(groups, "id", "left").select("d1", "d2", "n_shingles", "id", F.coalesce("component", "id").alias("component"), "copies")
     # only classes that don't simply stand for themselves go into the join
@@ -308,15 +316,15 @@ def _largest(members: DataFrame, turn: int) -> DataFrame:
     return per.select("token", F.col("best.component").alias("main"), F.col("best.leader").alias("leader"), F.col("best.leader_n").alias("leader_n"))
 
 
-def _leader_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
+def _leader_pairs(members: DataFrame, turn: int, percent: int, least: int = COLLISIONS) -> DataFrame:
     """Members outside the largest component of a token with its leader: as many rows as postings at most."""
-    rows = members.join(_largest(members, turn), "token").where("component <> main").where(_alike("n", "leader_n", percent))
+    rows = members.join(_largest(members, turn), "token").where("component <> main and id <> leader").where(_alike("n", "leader_n", percent))
     pairs = rows.groupBy(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    return pairs.where(F.col("c") >= COLLISIONS).select("a", "b")
+    return pairs.where(F.col("c") >= least).select("a", "b")
 
 
 def set_prefixes(sets: DataFrame, sketch_bits: int, percent: int) -> DataFrame:
-    """(token, id, n, central, place): the rarest shingles of each set, as many as a pair needs to share one of them.
+    """(token, id, n, place): the rarest shingles of each set, as many as a pair needs to share one of them.
 
     Sets that reach the similarity have at least percent / (100 + percent) of their added sizes in common, so the first
     shingle they share, from rare to frequent, comes early in both. Frequencies are a sketch of fixed size.
@@ -348,11 +356,11 @@ def set_prefixes(sets: DataFrame, sketch_bits: int, percent: int) -> DataFrame:
             at = row[keep]
             ids = batch.column(0).to_numpy(zero_copy_only=False)[at]
             yield pa.record_batch(
-                [pa.array(signed(shingles[order][keep])), pa.array(ids), pa.array(sizes[at]), pa.array(np.zeros(len(at), np.int64)), pa.array(place[keep])],
-                ["token", "id", "n", "central", "place"],
+                [pa.array(signed(shingles[order][keep])), pa.array(ids), pa.array(sizes[at]), pa.array(place[keep])],
+                ["token", "id", "n", "place"],
             )
 
-    return sets.select("id", "shingles").mapInArrow(post, "token long, id long, n long, central long, place long")
+    return sets.select("id", "shingles").mapInArrow(post, "token long, id long, n long, place long")
 
 
 def _other_pairs(members: DataFrame, percent: int) -> DataFrame:
