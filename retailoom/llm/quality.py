@@ -20,6 +20,7 @@ BLOCK = 512
 DICT_BYTES = 112 * 1024
 LEVEL = 3
 SAMPLE = 3000
+FOLDS = 3
 HEADER = 64  # bytes added to the sum, so that the difference of a very short text stays small
 
 
@@ -36,14 +37,13 @@ class Compressors:
         known.precompute_compress(level=level)
         return zstandard.ZstdCompressor(level=level, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
 
-    def measure(self, text: bytes) -> tuple[float, float, float]:
-        """Normalised difference of the sizes, and what is left of the text (log, and squared); zeros if empty."""
+    def measure(self, text: bytes) -> tuple[float, float]:
+        """Normalised difference of the sizes, and the log of what is left of the text; zeros if empty."""
         if not text:
-            return 0.0, 0.0, 0.0
+            return 0.0, 0.0
         blocks = [text[i : i + self.block] for i in range(0, len(text), self.block)]
         good, bad = (sum(len(c.compress(b)) for b in blocks) for c in self.pair)
-        rest = math.log((bad + good) / (2 * len(text)))
-        return (bad - good) / (bad + good + HEADER), rest, rest * rest
+        return (bad - good) / (bad + good + HEADER), math.log((bad + good) / (2 * len(text)))
 
 
 def build_dictionary(texts: list[bytes], size: int = DICT_BYTES, block: int = BLOCK) -> bytes:
@@ -60,7 +60,7 @@ def build_dictionary(texts: list[bytes], size: int = DICT_BYTES, block: int = BL
 Curve = tuple[np.ndarray, np.ndarray, np.ndarray, float]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> Curve:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Curve:
     """(means, deviations, weights, bias) of P(y = 1) = 1 / (1 + exp(-(weights . (x - means) / deviations + bias)))."""
     means, deviations = x.mean(axis=0), x.std(axis=0)
     deviations[deviations == 0] = 1.0
@@ -100,8 +100,8 @@ def train(
     """Fit on labelled rows of ``labels`` (id, 0 or 1); at most ``sample`` rows of either label are read.
 
     The sample takes the rows with the smallest hash of their id. Ids that carry both labels, null ids and null labels are
-    left out. Two thirds of the sample make the dictionaries, the rest the curve, weighted back to the shares of the two
-    labels among all rows. Without rows of both labels every score is the share of label 1 (0.5 if there are none).
+    left out. The curve is fitted on measures of each third of the sample under dictionaries made from the other two, and
+    shifted back to the shares of the two labels among all rows; the dictionaries that score are made from the whole sample. Without rows of both labels every score is the share of label 1 (0.5 if there are none).
     """
     bounded_batches(docs.sparkSession)
     known = labels.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("y")).where("id is not null and y in (0, 1)")
@@ -114,26 +114,34 @@ def train(
         some = known.where(F.col("y") == y).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample)
         drawn = some if drawn is None else drawn.unionByName(some)
     # at most 2 * sample ids, so a broadcast is bounded
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    rows = texts.join(F.broadcast(drawn), "id").orderBy(F.xxhash64("id", F.lit(seed)), "id").select("y", "text").collect()
-    parts: dict[str, dict[int, list[bytes]]] = {"build": {0: [], 1: []}, "fit": {0: [], 1: []}}
-    for n, row in enumerate(rows):
-        parts["fit" if n % 3 == 2 else "build"][row.y].append((row.text or "").encode())
-    flat = (np.zeros(3), np.ones(3), np.zeros(3), float(np.log(share / (1 - share))))
-    if not (any(parts["build"][0]) and any(parts["build"][1]) and parts["fit"][0] and parts["fit"][1]):
+    every = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    rows = every.join(F.broadcast(drawn), "id").orderBy(F.xxhash64("id", F.lit(seed)), "id").select("y", "text").collect()
+    texts = {y: [(row.text or "").encode() for row in rows if row.y == y] for y in (0, 1)}
+    flat = (np.zeros(2), np.ones(2), np.zeros(2), float(np.log(share / (1 - share))))
+    if min(sum(map(bool, texts[y])) for y in (0, 1)) < FOLDS:
         return QualityModel(b"", b"", flat)
-    good, bad = build_dictionary(parts["build"][1]), build_dictionary(parts["build"][0])
-    sizes = Compressors(good, bad)
-    x = {y: np.array([sizes.measure(t) for t in parts["fit"][y]]) for y in (0, 1)}
-    means, deviations, weights, bias = fit_logistic(np.concatenate((x[0], x[1])), np.repeat([0.0, 1.0], [len(x[0]), len(x[1])]))
-    bias += float(np.log(share / (1 - share)) - np.log(len(x[1]) / len(x[0])))
-    return QualityModel(good, bad, (means, deviations, weights, bias))
+
+    def dictionaries(leave_out: int | None) -> tuple[bytes, bytes]:
+        some = {y: [t for n, t in enumerate(texts[y]) if n % FOLDS != leave_out] for y in (0, 1)}
+        return build_dictionary(some[1]), build_dictionary(some[0])
+
+    measures: list[tuple[float, float]] = []
+    of: list[float] = []
+    for fold in range(FOLDS):
+        sizes = Compressors(*dictionaries(fold))
+        for y in (0, 1):
+            held = texts[y][fold::FOLDS]
+            measures += [sizes.measure(t) for t in held]
+            of += [float(y)] * len(held)
+    means, deviations, weights, bias = fit_logistic(np.array(measures), np.array(of))
+    bias += float(np.log(share / (1 - share)) - np.log(len(texts[1]) / len(texts[0])))
+    return QualityModel(*dictionaries(None), (means, deviations, weights, bias))
 
 
 def score_of(texts: pa.Array, model: QualityModel, sizes: Compressors | None) -> np.ndarray:
     """Scores of a text column; null and empty texts have measures of 0."""
     if sizes is None or not len(texts):
-        return model.score(np.zeros((len(texts), 3)))
+        return model.score(np.zeros((len(texts), 2)))
     return model.score(np.array([sizes.measure(t or b"") for t in texts.cast(pa.large_binary()).to_pylist()]))
 
 

@@ -83,7 +83,7 @@ def test_evidence_adds_up(spark):
 
 def test_odd_rows_of_languages(spark):
     odd = [(800, None, "en", None, None), (801, "", "de", "h", "x"), (802, "123 !?", None, None, None), (803, "a", "EN-us", None, None), (None, "the house", None, None, None)]
-    docs = small(spark, *odd, odd[3], (804, "the water " * 50_000, "de", None, None))
+    docs = small(spark, *odd, odd[3], (804, "the water " * 50_000, None, None, None))
     found = L.languages_of(docs, "id", declared=F.col("lang"), host=F.col("host"), suffix=F.col("suffix")).collect()
     assert len(found) == 80 + len(odd) + 2
     for r in found:
