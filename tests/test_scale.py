@@ -21,6 +21,7 @@ ONE_TASK = {
     "dim_date", "dim_user", "dim_product", "dim_store", "split_paid", "initial_inventory",
     "platform_report", "category_analysis", "user_level_analysis", "store_ranking", "store_leaderboard",
     "product_stats", "inventory_summary", "layer_metrics", "layer_pnl", "consistency_check", "row_counts",
+    "csv_consistency", "calendar_coverage",
 }
 
 
@@ -28,7 +29,7 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", (*registry.PLANS, *registry.CHECKS))
 def test_plan(spark, name):
     plan = plan_of(registry.queries()[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"):
