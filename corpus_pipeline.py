@@ -29,8 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the corpus' languages stay."""
-    judged = languages_of(docs, declared=docs["lang"], host=docs["source"]).where("not accepted")
+    """Documents in one of the corpus' languages stay, if it is the one they declare (or they declare none)."""
+    judged = languages_of(docs, declared=docs["lang"], host=docs["source"]).where("not accepted or contradicted")
     return _without(spark, docs, judged, "languages", doc_id=docs["doc_id"], row_key=F.xxhash64(docs["text"], docs["lang"], docs["source"]))
 
 

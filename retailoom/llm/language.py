@@ -5,6 +5,10 @@ posterior(l) ~ P(text | l) * P(declared | l) * P(address suffix | l) * prior(l |
 Text likelihoods come from byte trigrams, hashed to a table of fixed size and counted over all texts that declare a
 language. Each text votes for its likeliest language; grouped counts of these votes give what the declarations and the
 address suffixes say about a language, and the priors of hosts, smoothed towards their domain and that towards all.
+
+The posterior only tells the declared languages apart. Whether a text is in any of them is told by its fit: the mean log
+likelihood of its trigrams in its likeliest language, without its own share in the counts. A text is out of language if
+its fit is below a floor between the median fit of the language and what random bytes get from the language's table.
 """
 
 import numpy as np
@@ -20,6 +24,7 @@ MOST_LANGUAGES = 256
 MOST_SUFFIXES = 4096
 TEXT_WEIGHT = 200  # a text counts as this many trigrams at most: they are not independent
 SMOOTHING = 10.0
+LEAST_FIT = 0.5  # how far a fit may fall from the median towards that of random bytes; short texts by 1 / sqrt(trigrams) more
 SALTS = 16
 
 
@@ -64,24 +69,63 @@ def gram_counts(texts: DataFrame, languages: list[str]) -> np.ndarray:
     return out
 
 
-def _likelihoods(rows: DataFrame, table: np.ndarray) -> DataFrame:
-    """Adds ``grams`` (trigrams) and ``likelihoods`` (log, one per language, tempered) to (id, key, declared, host, suffix, text)."""
+def _fits(codes: np.ndarray, row: np.ndarray, count: np.ndarray, total: np.ndarray, said: np.ndarray, table: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Mean log likelihood in the likeliest language of each row; a row that declares it is taken out of its counts."""
+    best = total.argmax(axis=1)
+    fits = total[np.arange(len(best)), best] / np.maximum(count, 1)
+    mine = (said == best)[row]
+    if mine.any():
+        places = np.int64(table.shape[1])
+        gram, own = np.unique(row[mine] * places + codes[mine], return_counts=True)
+        of, gram = np.divmod(gram, places)
+        size = sizes[best[of]]
+        rest = np.maximum(np.exp(table[best[of], gram]) * size - own, 0.5) / (size - count[of])
+        without = np.bincount(of, weights=own * np.log(rest), minlength=len(best)) / np.maximum(count, 1)
+        fits = np.where(said == best, without, fits)
+    return fits
+
+
+def _likelihoods(rows: DataFrame, table: np.ndarray, languages: list[str] | None = None, sizes: np.ndarray | None = None) -> DataFrame:
+    """Adds ``grams`` (trigrams), ``likelihoods`` (log, one per language, tempered) and ``fit`` to (id, key, declared, host, suffix, text).
+
+    ``sizes`` are what the counts behind each row of ``table`` add up to, smoothing included; without it texts stay in the counts.
+    """
     many = len(table)
+    number = {name: i for i, name in enumerate(languages or ())} if sizes is not None else {}
 
     def score(batches):
         for batch in batches:
             count = np.zeros(batch.num_rows, np.int64)
             total = np.zeros((batch.num_rows, many))
+            fits = np.zeros(batch.num_rows)
+            said = np.array([number.get(x, -1) for x in batch.column(2).to_pylist()], np.int64)
             for first, last, data, offsets in text_slices(batch.column(5)):
                 codes, row = _row_codes(data, offsets)
                 count[first:last] = np.bincount(row, minlength=last - first)
                 for i in range(many):
                     total[first:last, i] = np.bincount(row, weights=table[i][codes], minlength=last - first)
+                fits[first:last] = _fits(codes, row, count[first:last], total[first:last], said[first:last], table, sizes)
             total *= (np.minimum(count, TEXT_WEIGHT) / np.maximum(count, 1))[:, None]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, total.size + 1, many, dtype=np.int32)), pa.array(total.ravel()))
-            yield pa.record_batch([*batch.columns[:5], pa.array(count), lists], ["id", "key", "declared", "host", "suffix", "grams", "likelihoods"])
+            yield pa.record_batch([*batch.columns[:5], pa.array(count), lists, pa.array(fits)], ["id", "key", "declared", "host", "suffix", "grams", "likelihoods", "fit"])
 
-    return rows.mapInArrow(score, "id long, key long, declared string, host string, suffix string, grams long, likelihoods array<double>")
+    return rows.mapInArrow(score, "id long, key long, declared string, host string, suffix string, grams long, likelihoods array<double>, fit double")
+
+
+def _fits_some(scored: DataFrame, languages: list[str], random: np.ndarray) -> Column:
+    """Whether the fit reaches the floor of the row's vote. Medians are over all rows that declare the language they vote for.
+
+    A text without trigrams, and one whose language has no such rows, has nothing to be held against and passes.
+    """
+    names = F.array(*map(F.lit, languages))
+    sure = scored.where(F.col("grams") > 0).where(F.element_at(names, F.col("vote") + 1) == F.col("declared"))
+    medians = {r.vote: r.median for r in sure.groupBy("vote").agg(F.percentile_approx("fit", 0.5, 10_000).alias("median")).collect()}
+    typical = [medians.get(i) for i in range(len(languages))]
+    gaps = [None if m is None else max(0.0, m - float(random[i])) for i, m in enumerate(typical)]
+    own = F.element_at(F.array(*[F.lit(x).cast("double") for x in typical]), F.col("vote") + 1)
+    gap = F.element_at(F.array(*[F.lit(x).cast("double") for x in gaps]), F.col("vote") + 1)
+    floor = own - gap * (LEAST_FIT + 1 / F.sqrt("grams"))
+    return (F.col("grams") == 0) | F.coalesce(F.col("fit") >= floor, F.lit(True))
 
 
 def _best(scores: Column) -> Column:
@@ -149,13 +193,17 @@ def languages_of(
     accept: list[str] | None = None,
     least_confidence: float = 0.5,
 ) -> DataFrame:
-    """(id, declared, language, confidence, accepted, row_key) of every row.
+    """(id, declared, language, confidence, accepted, fit, contradicted, row_key) of every row.
 
     ``declared`` is the language that markup or metadata declares (lower-cased, up to the first - or _), ``host`` and
     ``suffix`` where the text comes from; each may be null or left out and then says nothing. The languages are those
     declared, the ``MOST_LANGUAGES`` commonest at most. A row is accepted if its language is one of ``accept`` (any, if
     None) and its posterior is at least ``least_confidence``.
 
+    A text out of language (foreign, gibberish) has a null language and is not accepted, whatever it declares and wherever it
+    comes from; ``fit`` tells by how much, and its vote counts for nothing. ``contradicted``: the row declares one of
+    the languages and is judged to be in another or in none.
+
     A text of fewer than three bytes (null and empty ones too) is judged by the rest of the evidence; without any letter
     in it, its language is null and it is not accepted. Every row is judged by itself: repeated rows come out repeated.
     Without any declared language nothing can be learned: every language is null. Ties go to the first in the alphabet.
@@ -175,19 +223,24 @@ def languages_of(
     )
     common = rows.where("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES)
     languages = sorted(row.declared for row in common.collect())
-    empty = "id long, declared string, language string, confidence double, accepted boolean, row_key long"
+    empty = "id long, declared string, language string, confidence double, accepted boolean, fit double, contradicted boolean, row_key long"
     if not languages:
-        return rows.selectExpr("id", "declared", "cast(null as string) language", "0D confidence", "false accepted", "key row_key").to(
+        return rows.selectExpr("id", "declared", "cast(null as string) language", "0D confidence", "false accepted", "cast(null as double) fit", "false contradicted", "key row_key").to(
             docs.sparkSession.createDataFrame([], empty).schema
         ).withColumnRenamed("id", id_column)
     many = len(languages)
     counts = gram_counts(rows, languages)
-    table = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * counts.shape[1]))
+    sizes = counts.sum(axis=1) + 0.5 * counts.shape[1]
+    table = np.log((counts + 0.5) / sizes[:, None])
     lettered = F.col("text").rlike(r"\p{L}")
-    scored = _likelihoods(rows.where(F.coalesce(lettered, F.lit(False))), table)
-    blank = rows.where(~F.coalesce(lettered, F.lit(False))).select("id", "declared", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"), F.col("key").alias("row_key"))
+    scored = _likelihoods(rows.where(F.coalesce(lettered, F.lit(False))), table, languages, sizes).withColumn("vote", _best(F.col("likelihoods")))
+    blank = rows.where(~F.coalesce(lettered, F.lit(False))).select(
+        "id", "declared", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"),
+        F.lit(None).cast("double").alias("fit"), F.lit(False).alias("contradicted"), F.col("key").alias("row_key"),
+    )
     scored = scratch.settle(scored, "likelihoods")
-    votes = scored.where("grams > 0").groupBy(_best(F.col("likelihoods")).alias("vote"), "declared", "host", "suffix").agg(F.count(F.lit(1)).alias("n"))
+    scored = scored.withColumn("fits", _fits_some(scored, languages, table.mean(axis=1)))
+    votes = scored.where("grams > 0 and fits").groupBy("vote", "declared", "host", "suffix").agg(F.count(F.lit(1)).alias("n"))
     votes = scratch.settle(votes, "votes")
     says = _lookup("declared", _given(votes, "declared", MOST_LANGUAGES, languages), many)
     ends = _lookup("suffix", _given(votes, "suffix", MOST_SUFFIXES, languages), many)
@@ -197,10 +250,19 @@ def languages_of(
     salt = F.pmod(F.xxhash64("id", "key"), F.lit(SALTS)).cast("int")
     joined = scored.withColumn("salt", salt).join(scratch.settle(salted, "priors"), ["host", "salt"], "left")
     prior = F.coalesce("prior", F.array(*map(F.lit, base)))
-    posterior = joined.select("id", "key", "declared", _sum(F.col("likelihoods"), says, ends, prior).alias("p"))
+    fit = F.when(F.col("grams") > 0, F.col("fit")).alias("fit")
+    posterior = joined.select("id", "key", "declared", "fits", fit, _sum(F.col("likelihoods"), says, ends, prior).alias("p"))
     best = F.array_max("p")
     share = 1 / F.aggregate("p", F.lit(0.0), lambda a, x: a + F.exp(x - best))
-    named = posterior.select("id", "key", "declared", F.element_at(F.array(*map(F.lit, languages)), _best(F.col("p")) + 1).alias("language"), share.alias("confidence"))
-    wanted = F.lit(True) if accept is None else F.col("language").isin(accept)
-    judged = named.select("id", "declared", "language", "confidence", (wanted & (F.col("confidence") >= least_confidence)).alias("accepted"), F.col("key").alias("row_key"))
+    named = posterior.select(
+        "id", "key", "declared", "fit", "fits",
+        F.when(F.col("fits"), F.element_at(F.array(*map(F.lit, languages)), _best(F.col("p")) + 1)).alias("language"),
+        F.when(F.col("fits"), share).otherwise(0.0).alias("confidence"),
+    )
+    wanted = F.lit(True) if accept is None else F.coalesce(F.col("language").isin(accept), F.lit(False))
+    other = F.col("declared").isin(languages) & ~F.col("language").eqNullSafe(F.col("declared"))
+    judged = named.select(
+        "id", "declared", "language", "confidence", (F.col("fits") & wanted & (F.col("confidence") >= least_confidence)).alias("accepted"),
+        "fit", F.coalesce(other, F.lit(False)).alias("contradicted"), F.col("key").alias("row_key"),
+    )
     return judged.unionByName(blank).withColumnRenamed("id", id_column)

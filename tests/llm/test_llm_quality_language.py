@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from retailoom.llm import language as L
 from retailoom.llm import quality as Q
 from retailoom.llm.queries import QUERIES, held_out, table
@@ -118,3 +119,40 @@ def test_counts_and_likelihoods_against_brute_force(spark):
         n = len(grams[r.id])
         for i in (0, 1):
             assert math.isclose(r.likelihoods[i], sum(table_[i][g] for g in grams[r.id]) * min(n, L.TEXT_WEIGHT) / n, rel_tol=1e-9)
+
+
+FOREIGN = {
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "ja": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván.",
+    "code": "a1 b2 {x:[0,0,1]}",
+    "gibberish": "".join(random.Random(3).choices("bcdfghjklmnpqrstvwxz   ", k=400)),
+    "repeated": "xqzt wvkj " * 2_000,
+}
+
+
+def with_foreign(spark, docs):
+    """Documents with planted rows: foreign ones (ids from -10, half of them declare English), and ones under a wrong language (-100, -101)."""
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    foreign = spark.createDataFrame([(-10 - n, t, "en" if n % 2 else None, "src0", len(t)) for n, t in enumerate(FOREIGN.values())], columns)
+    long_ = docs.where("length(text) > 500")
+    wrong = [long_.where(f"lang = '{l}'").orderBy("doc_id").limit(1).withColumns({"doc_id": F.lit(i).cast("long"), "lang": F.lit(to)}) for i, l, to in ((-100, "de", "en"), (-101, "en", "fr"))]
+    return docs.unionByName(foreign).unionByName(wrong[0]).unionByName(wrong[1])
+
+
+def test_foreign_and_gibberish_rows(spark):
+    docs = with_foreign(spark, table(spark, SF_DIR, "documents"))
+    found = {r.doc_id: r for r in L.languages_of(docs, declared=F.col("lang"), host=F.col("source")).collect()}
+    for n, name in enumerate(FOREIGN):
+        r = found[-10 - n]
+        assert (name, r.language, r.confidence, r.accepted, r.contradicted) == (name, None, 0.0, False, bool(n % 2))
+    assert (found[-100].language, found[-100].contradicted, found[-101].language, found[-101].contradicted) == ("de", True, "en", True)
+    clean = [r for i, r in found.items() if i >= 0]
+    assert len(clean) == 1000 and all(r.accepted and not r.contradicted for r in clean)
+
+
+def test_language_stage_drops_only_the_planted(spark):
+    clean = table(spark, SF_DIR, "documents")
+    docs = with_foreign(spark, clean)
+    kept = corpus_pipeline.language(spark, docs, SF_DIR)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in clean.select("doc_id").collect())
