@@ -6,6 +6,7 @@ that the cache doesn't know are encoded; their counts are appended to it.
 
 import hashlib
 import json
+import re
 
 import pyarrow as pa
 import tiktoken
@@ -20,6 +21,9 @@ CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
 # fixed value: how byte-level vocabularies split text
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# tiktoken's regex gives up on a run of about a million white-space characters
+SAFE_RUN = 100_000
+
 
 def byte_characters() -> dict[str, int]:
     """The printable characters that byte-level vocabularies write for the 256 bytes."""
@@ -32,7 +36,8 @@ class TokenCounter:
     """Counts tokens as the ``tokenizers`` library does without added special tokens.
 
     A plain byte-level vocabulary whose ids follow its merges is counted with ``tiktoken``, which gives the same counts
-    several times faster; any other file goes to ``tokenizers`` itself. Strings of special tokens inside a text count as
+    several times faster; any other file goes to ``tokenizers`` itself, and so does a text with a run of more than
+    ``SAFE_RUN`` white-space characters. Strings of special tokens inside a text count as
     the one token they are.
     """
 
@@ -73,7 +78,12 @@ class TokenCounter:
         if self.fast is None:
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         parts = text.split(self.special[0]) if self.special else [text]
-        return len(parts) - 1 + sum(len(self.fast.encode_ordinary(p)) for p in parts if p)
+        return len(parts) - 1 + sum(map(self._count_part, filter(None, parts)))
+
+    def _count_part(self, text: str) -> int:
+        if len(text) > SAFE_RUN and any(run.end() - run.start() > SAFE_RUN for run in re.finditer(r"\s+", text)):
+            return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return len(self.fast.encode_ordinary(text))
 
 
 def tokenizer_digest(path: str) -> str:

@@ -36,6 +36,13 @@ def test_fast_counts_are_the_library_s():
         assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_long_runs_of_white_space(spark):
+    texts = ["\n" * 2_000_000 + "a", "b" + " " * 2_000_000, "one\t" * 10 + " " * 150_000 + "two<|endoftext|>\u3000" * 2, " " * 99_000 + "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.n_tokens for r in T.token_counts(docs, PATH).collect()}
+    assert found == {n: library_count(t) for n, t in enumerate(texts)}
+
+
 def test_other_vocabularies_are_counted_by_the_library():
     path = public_tokenizers.path("word_bpe_49k.json")
     counter = T.TokenCounter(path)
