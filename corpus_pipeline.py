@@ -35,8 +35,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8) stays, that with the smallest id."""
-    return _without(spark, docs, near_duplicates(docs, shingle=5, percent=80).where("not kept"), "copies", doc_id=docs["doc_id"])
+    """One document of each group of near copies (five words, 0.8) stays, that with the smallest id (null last).
+
+    Rows are told apart by a number that is stored before anything is compared, so ids may be null or repeated.
+    """
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    numbered = Scratch(spark, "pipeline").settle(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered, id_column=number, shingle=5, percent=80).select(number, "component_id")
+    found = found.join(numbered.select(number, "doc_id"), number)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", number))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{number}").alias(number))
+    return _without(spark, numbered, found.join(kept, number, "left_anti"), "copies", **{number: numbered[number]}).drop(number)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,3 +105,25 @@ def test_stages_on_odd_rows_and_none(spark, name, stage):
     else:
         assert {r.doc_id for r in found.collect()} == {r.doc_id for r in docs.collect()}
     assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_near_dedup_tells_rows_apart(spark):
+    """Null and repeated ids: what is no copy stays, and one of each group stays, that with the smallest id."""
+    text = {name: " ".join(f"{name}{n}" for n in range(40)) for name in "abcdefg"}
+    rows = [
+        (1, text["a"]), (None, text["a"]), (None, text["b"]),  # a copy without id, and a text that has nothing to do with it
+        (5, text["c"]), (5, text["c"]), (5, text["c"] + " more"),  # repeats under one id
+        (None, text["d"]), (None, text["d"]),  # copies that all lack ids
+        (7, text["e"]), (7, text["f"]), (3, text["e"]),  # two texts under one id, one of them a copy
+        (None, text["g"]), (9, text["g"]), (None, None), (None, None), (8, ""), (8, ""),
+    ]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, _row int").repartition(5)
+    found = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+    of_five = [k for k in kept if k[0] == 5]
+    assert len(of_five) == 1 and of_five[0][1].startswith(text["c"])
+    expected = [
+        (1, text["a"]), (None, text["b"]), (None, text["d"]), (3, text["e"]), (7, text["f"]), (9, text["g"]), (None, None), (None, None), (8, ""), (8, ""),
+    ]
+    assert sorted((k for k in kept if k[0] != 5), key=repr) == sorted(expected, key=repr)
