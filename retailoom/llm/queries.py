@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailoom.llm.centroids import cluster_vectors, with_inertia
 from retailoom.llm.decontaminate import contamination
+from retailoom.llm.fill_middle import digests
 from retailoom.llm.language import languages_of
 from retailoom.llm.licenses import license_scan
 from retailoom.llm.main_text import main_texts
@@ -15,10 +17,13 @@ from retailoom.llm.packing import pack
 from retailoom.llm.quality import quality_scores, train
 from retailoom.llm.token_counts import token_counts
 from retailoom.llm.top_k import top_k
+from retailoom.llm.toxicity import toxicity_scores
+from retailoom.llm.toxicity import train as train_toxicity
 from retailoom.llm.url_filter import judged_urls
 
 SEQUENCE_BYTES = 8192
 LEAST_QUALITY = 0.3
+LEAST_TOXICITY = 0.5
 URL_RULES = [
     ("block", "net", "/"),
     ("allow", "example.net", "/en/"),
@@ -87,6 +92,22 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3, width=64, scale=64, seed=1)
+    return with_inertia(found, centroids)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"), seed=1)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    scores = toxicity_scores(docs, model)
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= LEAST_TOXICITY).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -98,4 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_toxicity": op13_toxicity,
 }
