@@ -1,7 +1,7 @@
 """Fact tables of the star schema.
 
 Facts carry no numbered key of their own: nothing reads one, and numbering a fact table would sort it.
-The dimension frames given here may be marked for broadcast by the caller (see ``plans.star``).
+Whether a dimension is broadcast is left to Spark's size check.
 """
 
 import datetime as dt
@@ -59,6 +59,17 @@ def fact_order(
     return stamped(facts, as_of)
 
 
+def order_orphans(orders: DataFrame, dim_user: DataFrame, dim_store: DataFrame) -> DataFrame:
+    """Orders that ``fact_order`` leaves out as their user or store is not known (yet), with their day."""
+    known = (
+        orders.filter("order_id is not null")
+        .join(dim_user.select("user_id", "user_key"), "user_id", "left")
+        .join(dim_store.select("store_id", "store_key"), "store_id", "left")
+    )
+    missing = known.filter("user_key is null or store_key is null")
+    return missing.select("order_id", "user_id", "store_id", C.date_key(F.col("order_time")).alias("date_key")).distinct()
+
+
 def fact_order_detail(
     details: DataFrame, fact_order: DataFrame, dim_product: DataFrame, as_of: dt.datetime | None = None
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
-from retailoom.operators import derive, dims, facts, quality, reports, rollups, sales, summaries
+from retailoom.operators import derive, dims, facts, quality, reports, rollups, sales, states, summaries
 
 
 # raw tables with a day of their own: the calendar covers them all
@@ -51,6 +51,19 @@ DAILY: dict[str, Callable[["Star"], DataFrame]] = {
     "traffic_summary": lambda s: summaries.traffic_summary(s["fact_traffic"], s["fact_order"], s["dim_store"]),
 }
 
+# orders that wait for their user or store; a refresh takes up their days when a dimension gains keys
+LATE: dict[str, Callable[["Star"], DataFrame]] = {
+    "order_orphans": lambda s: facts.order_orphans(s["ods_orders"], s["dim_user"], s["dim_store"]),
+}
+
+# daily states that totals are merged from
+STATES: dict[str, Callable[["Star"], DataFrame]] = {
+    "order_state_1d": lambda s: states.order_state_1d(s["fact_order"]),
+    "user_bitmap_1d": lambda s: states.user_bitmap_1d(s["fact_order"]),
+    "user_state_1d": lambda s: states.user_state_1d(s["fact_order"]),
+    "category_state_1d": lambda s: states.category_state_1d(s["sales"], s["dim_product"]),
+}
+
 TOTALS: dict[str, Callable[["Star"], DataFrame]] = {
     "dim_category": lambda s: dims.dim_category(s["dim_product"]),
     "store_total": lambda s: rollups.store_total(s["fact_order"], s["dim_store"]),
@@ -62,6 +75,15 @@ TOTALS: dict[str, Callable[["Star"], DataFrame]] = {
     "inventory_summary": lambda s: summaries.inventory_summary(s["ods_inventory"], s["ods_products"]),
 }
 
+# totals as a refresh of dates makes them: the same rows, without reading facts of other dates
+MERGED: dict[str, Callable[["Star"], DataFrame]] = {
+    "store_total": lambda s: states.store_total(s["order_state_1d"], s["user_bitmap_1d"], s["dim_store"]),
+    "product_total": lambda s: states.product_total(s["trade_product_1d"], s["dim_product"]),
+    "category_total": lambda s: states.category_total(s["category_state_1d"]),
+    "user_total": lambda s: states.user_total(s["user_state_1d"], s["dim_user"]),
+    "sales_monthly": lambda s: states.sales_monthly(s["order_state_1d"], s["user_bitmap_1d"]),
+}
+
 REPORTS: dict[str, Callable[["Star"], DataFrame]] = {
     "daily_report": lambda s: reports.daily_report(s["sales"], s["fact_promotion"], s["dim_store"], s["dim_product"]),
     "platform_summary": lambda s: reports.platform_summary(s["daily_report"]),
@@ -115,7 +137,7 @@ class Star(Mapping[str, DataFrame]):
 
     ``settle(name, plan)`` may store a table and return it as stored; without it everything is one lazy
     plan. ``given`` are tables to use as they are. ``earlier`` are dimensions of the run before, whose
-    keys are kept.
+    keys are kept. ``plans`` are other ways to make tables than those of this module.
     """
 
     def __init__(
@@ -124,15 +146,18 @@ class Star(Mapping[str, DataFrame]):
         settle: Callable[[str, DataFrame], DataFrame] | None = None,
         given: Mapping[str, DataFrame] | None = None,
         earlier: Mapping[str, DataFrame] | None = None,
+        plans: Mapping[str, Callable[["Star"], DataFrame]] | None = None,
     ):
         self.raw = raw
+        self._plans = PLANS | LATE | STATES | dict(plans or {})
         self._settle = settle or (lambda name, plan: plan)
-        self._done = dict(given or {})
+        self._given = given or {}
+        self._done: dict[str, DataFrame] = {}
         self._earlier = earlier or {}
 
     def plan(self, name: str) -> DataFrame:
         """How the table is computed from the tables before it."""
-        return PLANS[name](self)
+        return self._plans[name](self)
 
     def earlier(self, name: str) -> DataFrame | None:
         return self._earlier.get(name)
@@ -140,15 +165,12 @@ class Star(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.raw:
             return self.raw[name]
+        if name in self._given:
+            return self._given[name]
         if name not in self._done:
             self._done[name] = self._settle(name, self.plan(name))
         return self._done[name]
 
-    @property
-    def built(self) -> list[str]:
-        """Tables asked for so far."""
-        return list(self._done)
-
     def __iter__(self) -> Iterator[str]:
         return iter(PLANS)
 

@@ -1,22 +1,30 @@
 """Refreshing the stored warehouse: all of it, or some dates."""
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailoom.functions import columns as C
 from retailoom.operators import quality
-from retailoom.plans.star import DAILY, DIMENSION_SOURCE, DIMENSIONS, FACTS, RAW_DAY, REPORTS, TOTALS, Star
+from retailoom.plans.star import DAILY, DIMENSION_SOURCE, DIMENSIONS, FACTS, LATE, MERGED, RAW_DAY, REPORTS, STATES, TOTALS, Star
 from retailoom.schemas import RAW_COLUMNS, REPORT_LABELS
 from retailoom.sources.csv_files import write_csv
+from retailoom.sources.raw_layer import RawLayer
 from retailoom.sources.tables import TableStore
+from retailoom.sources.versions import VersionedStore
 
 TABLES = (*DIMENSIONS, *FACTS, *DAILY, *TOTALS, *REPORTS)
 
-# stored by date, and refreshed by date
-DATED = frozenset({*FACTS, *DAILY, "daily_report", "traffic_report"})
+# what a refresh stores: besides the tables, the states that totals are merged from
+STORED = frozenset({*TABLES, *LATE, *STATES})
+
+# stored by month of their date, and refreshed by date
+DATED = frozenset({*FACTS, *LATE, *STATES, *DAILY, "daily_report", "traffic_report"})
+
+# the version of the raw layer that the tables were made from
+SEEN = "raw_seen"
 
 UNIQUE = {
     "dim_date": ("date_key",),
@@ -30,13 +38,16 @@ UNIQUE = {
 class Warehouse:
     """Dimensions, facts, rollups and reports stored under one root, from the raw tables ``raw``.
 
-    Each table is written, read back and only then used by the next ones, so that a lost executor costs
-    a part of one table. An error stops the refresh.
+    Each table is written, read back and only then used by the next ones, so that a lost executor costs a part of one
+    table. A refresh is a version of the store: its tables become visible together at its end, and if an error stops it
+    readers keep what they had. Totals by store, product, category, user and month are merged from daily states.
     """
 
-    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], root: str):
-        self.store = TableStore(spark, root)
-        self.raw = raw
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame] | RawLayer, root: str):
+        self.spark = spark
+        self.store = VersionedStore(spark, root)
+        self.layer = raw if isinstance(raw, RawLayer) else None
+        self.raw: Mapping[str, DataFrame] = raw.read_all() if isinstance(raw, RawLayer) else raw
 
     @classmethod
     def over_store(cls, spark: SparkSession, raw_store: TableStore, root: str) -> "Warehouse":
@@ -45,37 +56,74 @@ class Warehouse:
 
     def refresh(self, tables: Sequence[str] = TABLES) -> Star:
         """Build the tables, and what they are made from, anew."""
-        star = Star(self.raw, self._write_all)
-        for name in tables:
-            star[name]
+        with self.store.version():
+            self._note_layer()
+            star = Star(self.raw, self._write_all, plans=MERGED)
+            for name in (*LATE, *tables):
+                star[name]
         return star
 
     def refresh_dates(self, date_keys: Sequence[int], tables: Sequence[str] = TABLES) -> Star:
         """Recompute the given dates, and the tables that are not by date.
 
-        The result is that of a full refresh, with one difference: rows new to a dimension get the next
-        free key instead of being numbered anew, as the facts of other dates hold the old keys.
+        Facts and daily tables are read and written in the months of these dates only, raw tables too where ``raw`` is a
+        ``RawLayer``; merged totals read daily states. Orders that waited for a user or store who is there now are taken
+        up with their dates. The result is that of a full refresh, with one difference: rows new to a dimension get the
+        next free key instead of being numbered anew, as the facts of other dates hold the old keys.
         """
-        earlier = {name: self.store.read(name) for name in DIMENSION_SOURCE}
-        for name, table in earlier.items():
-            # the new dimension is read from the old one, so it cannot be written over it at once
-            self.store.replace(f"{name}_before", table)
-        before = {name: self.store.read(f"{name}_before") for name in DIMENSION_SOURCE}
-        dimensions = Star(self.raw, self._write_all, earlier=before)
-        given = {name: dimensions[name] for name in DIMENSIONS}
-
-        some_days = {name: self._on_days(name, date_keys) for name in self.raw}
-        dated = Star(some_days, lambda name, plan: self._write_dates(name, plan, date_keys), given)
-        for name in tables:
-            if name in DATED:
-                dated[name]
-
-        stored = given | {name: self.store.read(name) for name in dated.built if name in DATED}
-        star = Star(self.raw, self._write_all, stored)
-        for name in tables:
-            star[name]
+        with self.store.version():
+            self._note_layer()
+            before = {name: self.store.read(name) for name in DIMENSION_SOURCE}
+            dimensions = Star(self.raw, self._write_all, earlier=before)
+            given = {name: dimensions[name] for name in DIMENSIONS}
+            date_keys = sorted({*date_keys, *self._awaited(before, given)})
+
+            if date_keys:
+                some_days = {name: self._on_days(name, date_keys) for name in self.raw}
+                dated = Star(some_days, lambda name, plan: self._write_dates(name, plan, date_keys), given, plans=MERGED)
+                for name in DATED:
+                    if name in tables or self.store.folders(name):
+                        dated[name]
+
+            star = Star(self.raw, self._write_all, _Stored(self.store, given), plans=MERGED)
+            for name in tables:
+                star[name]
         return star
 
+    def catch_up(self, tables: Sequence[str] = TABLES) -> list[int]:
+        """Refresh what the raw layer changed since the last refresh, and return its dates. Without one, refresh all.
+
+        How far the tables have come is published with them, so a refresh that failed is made up for by the next one.
+        """
+        if self.layer is None:
+            raise ValueError("the raw tables are no RawLayer, so their changes are not known")
+        self.raw = self.layer.read_all()
+        seen = self.store.find(SEEN)
+        if seen is None:
+            self.refresh(tables)
+            return []
+        changes = self.layer.changes(seen.first()[0])
+        if changes.isEmpty():
+            return []
+        dates = [row[0] for row in changes.filter("date_key is not null").select("date_key").distinct().orderBy("date_key").collect()]
+        self.refresh_dates(dates, tables)
+        return dates
+
+    def _note_layer(self) -> None:
+        if self.layer is not None:
+            self.store.replace(SEEN, self.spark.createDataFrame([(self.layer.version,)], "raw_version int"))
+
+    def _awaited(self, before: Mapping[str, DataFrame], now: Mapping[str, DataFrame]) -> list[int]:
+        """Dates of stored orphans whose user or store has come since."""
+        waiting = self.store.find("order_orphans")
+        if waiting is None:
+            return []
+        came = []
+        for name, key in (("dim_user", "user_id"), ("dim_store", "store_id")):
+            new = now[name].select(key).join(before[name].select(key), key, "left_anti")
+            came.append(waiting.join(new, key, "left_semi").select("date_key"))
+        return [row[0] for row in came[0].union(came[1]).filter("date_key is not null").distinct().collect()]
+
     def check(self, files: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """Compare the stored layers; ``files`` are the raw frames as read from CSV."""
         star = Star(self.raw, given={name: self.store.read(name) for name in TABLES})
@@ -92,8 +140,10 @@ class Warehouse:
         write_csv(self.store.read(name).select(*[F.col(column).alias(label) for column, label in labels.items()]), path)
 
     def _on_days(self, name: str, date_keys: Sequence[int]) -> DataFrame:
+        if self.layer is not None:
+            return self.layer.read_dates(name, date_keys)
         rows = self.raw[name]
-        if name not in RAW_DAY:  # order lines follow their order
+        if name not in RAW_DAY:  # order lines follow their order; only a RawLayer knows their day
             return rows
         days = [dt.datetime.strptime(str(key), "%Y%m%d") for key in date_keys]
         moment = F.col(RAW_DAY[name])
@@ -102,15 +152,39 @@ class Warehouse:
         return rows.filter(near & C.date_key(moment).isin(*date_keys))
 
     def _write_all(self, name: str, plan: DataFrame) -> DataFrame:
-        if name not in TABLES:
+        if name not in STORED:
             return plan
         return self.store.replace(name, _keyed(name, plan), by_date=name in DATED)
 
     def _write_dates(self, name: str, plan: DataFrame, date_keys: Sequence[int]) -> DataFrame:
         if name not in DATED:
             return plan
-        stored = self.store.replace_dates(name, _keyed(name, plan), date_keys)
-        return stored.filter(F.col("date_key").isin(*date_keys))
+        if not self.store.folders(name):  # never built: all of it is missing, not these dates only
+            raise FileNotFoundError(f"{name} was not refreshed before; refresh it whole first")
+        self.store.replace_dates(name, _keyed(name, plan), date_keys)
+        return self.store.read_dates(name, date_keys)
+
+
+class _Stored(Mapping[str, DataFrame]):
+    """Dimensions at hand and dated tables of a store, which are looked up when asked for."""
+
+    def __init__(self, store: VersionedStore, given: Mapping[str, DataFrame]):
+        self.store = store
+        self._read = dict(given)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._read or (name in DATED and bool(self.store.folders(str(name))))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.store.read(name)
+        return self._read[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return (name for name in (*DIMENSIONS, *DATED) if name in self)
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)
 
 
 def _keyed(name: str, plan: DataFrame) -> DataFrame:

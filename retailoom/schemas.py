@@ -120,6 +120,20 @@ RAW_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
     ),
 }
 
+# --- fixed values: what identifies a row of a raw table; a table without such a key is delivered by whole days --------
+
+RAW_KEYS: dict[str, tuple[str, ...]] = {
+    "ods_stores": ("store_id",),
+    "ods_products": ("sku_id",),
+    "ods_users": ("user_id",),
+    "ods_orders": ("order_id",),
+    "ods_order_details": ("order_detail_id",),
+    "ods_promotion": ("promotion_id",),
+    "ods_traffic": ("date", "store_id"),
+    "ods_inventory": ("inventory_id",),
+    "ods_product_traffic": ("traffic_id",),
+}
+
 # --- fixed values: column labels under which the reports are handed out -------------------------------
 
 REPORT_LABELS: dict[str, dict[str, str]] = {

@@ -86,7 +86,7 @@ def has_rows(rows: DataFrame | None) -> bool:
 
 def preview(spark: SparkSession, folder: str, tables: int = 3, rows: int = 10) -> dict[str, DataFrame]:
     """The first ``rows`` rows, as text, of the first ``tables`` CSV tables in ``folder``."""
-    names = sorted(_csv_tables(spark, folder))[:tables]
+    names = sorted(csv_tables(spark, folder))[:tables]
     return {name: spark.read.option("header", True).csv(f"{folder}/{name}.csv").limit(rows) for name in names}
 
 
@@ -100,7 +100,7 @@ def load_layer(
     if mode not in ("full", "append"):
         raise ValueError(f"unknown mode {mode}")
     outcome: dict[str, str | None] = {}
-    for name in sorted(_csv_tables(spark, folder)):
+    for name in sorted(csv_tables(spark, folder)):
         try:
             rows = read_raw_csv(spark, f"{folder}/{name}.csv", name, multi_line)
             if has_rows(rows):
@@ -119,7 +119,7 @@ def load_frames(frames: Mapping[str, DataFrame], store: TableStore) -> None:
         store.replace(name, with_nulls(rename_columns(rows, name), text=False))
 
 
-def _csv_tables(spark: SparkSession, folder: str) -> list[str]:
+def csv_tables(spark: SparkSession, folder: str) -> list[str]:
     """Names of the tables in ``folder``: files ``<table>.csv`` or folders of that name."""
     files = (
         spark.read.format("binaryFile")

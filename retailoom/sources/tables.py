@@ -1,13 +1,15 @@
 """Stored tables: one Parquet folder per table under a root folder that all executors share."""
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-PARTITION = "date_key"
+DAY = "date_key"
+# dated tables have a folder per month; inside the files rows lie in order of their day, so that row groups are skipped
+MONTH = "month_key"
 
 
 def version_of(spark: SparkSession, paths: Sequence[str]) -> str:
@@ -22,6 +24,19 @@ def version_of(spark: SparkSession, paths: Sequence[str]) -> str:
     return hashlib.sha256("\n".join(files).encode()).hexdigest()[:16]
 
 
+def month_of(day: str = DAY) -> Column:
+    return F.floor(F.col(day) / 100).cast("int")
+
+
+def months_of(date_keys: Iterable[int]) -> list[int]:
+    return sorted({key // 100 for key in date_keys})
+
+
+def by_month(rows: DataFrame, day: str = DAY) -> DataFrame:
+    """Rows of a month together, in order of their day; adaptive execution splits large months and joins small ones."""
+    return rows.withColumn(MONTH, month_of(day)).hint("rebalance", MONTH).sortWithinPartitions(MONTH, day)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -31,7 +46,12 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(self.path(name)).drop(MONTH)
+
+    def read_dates(self, name: str, date_keys: Sequence[int], day: str = DAY) -> DataFrame:
+        """Rows of the given days of a dated table: the folders of their months, and of those the row groups of the days."""
+        rows = self.spark.read.parquet(self.path(name))
+        return rows.filter(F.col(MONTH).isin(months_of(date_keys)) & F.col(day).isin(*date_keys)).drop(MONTH)
 
     def find(self, name: str) -> DataFrame | None:
         """The table, or None if it was never written."""
@@ -42,12 +62,9 @@ class TableStore:
                 return None
             raise
 
-    def replace(self, name: str, rows: DataFrame, by_date: bool = False) -> DataFrame:
+    def replace(self, name: str, rows: DataFrame, by_date: bool = False, day: str = DAY) -> DataFrame:
         """Write the whole table anew and return it as read back, with its lineage cut."""
-        if by_date:
-            writer = _balanced(rows).write.partitionBy(PARTITION)
-        else:
-            writer = rows.write
+        writer = by_month(rows, day).write.partitionBy(MONTH) if by_date else rows.write
         writer.option("partitionOverwriteMode", "static").mode("overwrite").parquet(self.path(name))
         stored = self.find(name)
         if stored is None:  # no rows, so no partition was written that would hold the schema
@@ -60,25 +77,6 @@ class TableStore:
         rows.write.mode("append").parquet(self.path(name))
         return self.read(name)
 
-    def replace_dates(self, name: str, rows: DataFrame, date_keys: Sequence[int]) -> DataFrame:
-        """Replace the partitions of ``date_keys`` with ``rows`` and leave the other dates alone.
-
-        Dates for which there are no rows any more end up empty.
-        """
-        rows = rows.filter(F.col(PARTITION).isin(*date_keys))
-        staged = self.replace(f"{name}__dates", rows, by_date=True)  # worked out once; what follows reads it back
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(self.path(name))
-        filled = {row[0] for row in staged.select(PARTITION).distinct().collect()}  # at most the dates asked for
-        nothing = self.read(name).drop(PARTITION).limit(0)
-        for date_key in set(date_keys) - filled:
-            nothing.write.mode("overwrite").parquet(f"{self.path(name)}/{PARTITION}={date_key}")
-        return self.read(name)
-
     def settle(self, name: str, rows: DataFrame) -> DataFrame:
         """Write an intermediate table and go on from what was written."""
         return self.replace(name, rows)
-
-
-def _balanced(rows: DataFrame) -> DataFrame:
-    """Bring rows of a date together for writing; adaptive execution splits large dates and joins small ones."""
-    return rows.hint("rebalance", PARTITION)

@@ -1,0 +1,227 @@
+"""Deliveries merged into the raw layer, and a warehouse that follows them."""
+
+import datetime as dt
+import re
+from decimal import Decimal
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+from test_warehouse import some_days
+
+from retailoom.plans.star import MERGED
+from retailoom.plans.warehouse import Warehouse
+from retailoom.schemas import RAW_COLUMNS
+from retailoom.sources import csv_files
+from retailoom.sources.raw_layer import LINES, RawLayer
+from retailoom.sources.tables import TableStore
+
+ORDER = "order_id string, user_id string, store_id string, order_time timestamp, order_status string, update_time timestamp, final_amount decimal(12,2)"
+LINE = "order_detail_id string, order_id string, sku_id string, quantity int"
+
+
+def order(n, day, amount=1, status="已完成", updated=None, user="u1"):
+    return (n, user, "s1", dt.datetime(2024, *day), status, updated, Decimal(amount))
+
+
+def orders(spark, *rows):
+    return spark.createDataFrame(rows, ORDER)
+
+
+def lines(spark, *rows):
+    return spark.createDataFrame(rows, LINE)
+
+
+@pytest.fixture
+def layer(spark, tmp_path):
+    layer = RawLayer(spark, str(tmp_path / "raw"))
+    layer.load({
+        "ods_orders": orders(spark, order("a", (1, 5)), order("b", (1, 6)), order("c", (2, 7)), order(None, (2, 8))),
+        LINES: lines(spark, ("a1", "a", "k", 1), ("b1", "b", "k", 2), ("c1", "c", "k", 3), ("z1", "z", "k", 4)),
+    })
+    return layer
+
+
+def test_lines_lie_with_their_order(layer):
+    assert {r.order_detail_id for r in layer.read_dates(LINES, [20240105]).collect()} == {"a1"}
+    assert layer.read(LINES).columns == LINE.replace(" string", "").replace(" int", "").split(", ")
+    months = {f.rsplit("=", 1)[1] for f in layer.store.folders(LINES)}
+    assert months == {"202401", "202402", "__HIVE_DEFAULT_PARTITION__"}  # the line of an unknown order waits
+
+
+def test_the_same_delivery_twice_changes_nothing(spark, layer):
+    delivery = {
+        "ods_orders": orders(spark, order("b", (1, 6), 9), order("d", (3, 1))),
+        LINES: lines(spark, ("b1", "b", "k", 7), ("d1", "d", "k", 8)),
+    }
+    untouched = [f for f in layer.store.folders("ods_orders") if "202402" in f]
+    first = layer.merge(delivery)
+    assert set(first.date_keys) == {20240106, 20240301} and set(first.tables) == {"ods_orders", LINES}
+    assert [f for f in layer.store.folders("ods_orders") if "202402" in f] == untouched
+    content = [rows_of(layer.read(name)) for name in ("ods_orders", LINES)]
+    version = layer.version
+    assert layer.merge(delivery).version is None and layer.version == version
+    assert [rows_of(layer.read(name)) for name in ("ods_orders", LINES)] == content
+    assert {r.order_id: r.final_amount for r in layer.read("ods_orders").collect()} == {"a": 1, "b": 9, "c": 1, None: 1, "d": 1}
+    assert {r.order_detail_id: r.quantity for r in layer.read(LINES).collect()} == {"a1": 1, "b1": 7, "c1": 3, "z1": 4, "d1": 8}
+
+
+def test_an_order_that_changes_its_day_takes_its_lines_along(spark, layer):
+    found = layer.merge({"ods_orders": orders(spark, order("b", (3, 9)))})
+    assert set(found.date_keys) == {20240106, 20240309}
+    assert layer.read_dates("ods_orders", [20240106]).isEmpty()
+    assert {r.order_detail_id for r in layer.read_dates(LINES, [20240309]).collect()} == {"b1"}
+    assert layer.read(LINES).count() == 4
+
+
+def test_a_line_waits_for_its_order(spark, layer):
+    layer.merge({"ods_orders": orders(spark, order("z", (1, 20)))})
+    assert {r.order_detail_id for r in layer.read_dates(LINES, [20240120]).collect()} == {"z1"}
+
+
+def test_of_rows_of_one_key_the_latest_counts(spark, layer):
+    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    layer.merge({"ods_orders": orders(spark, order("d", (1, 9), 5, updated=late), order("d", (1, 8), 7, updated=early), order("d", (1, 8), 8))})
+    assert [r.final_amount for r in layer.read("ods_orders").filter("order_id = 'd'").collect()] == [5]
+
+
+def test_rows_of_one_key_count_together(spark, layer):
+    """A key that is not unique: all its rows replace all that are stored, and none is lost."""
+    two = lines(spark, ("a1", "a", "k", 5), ("a1", "a", "k", 6), ("a1", "a", "k", 6))
+    assert layer.merge({LINES: two}).date_keys == (20240105,)
+    assert sorted(r.quantity for r in layer.read(LINES).filter("order_detail_id = 'a1'").collect()) == [5, 6, 6]
+    assert layer.merge({LINES: two.repartition(3)}).version is None
+    assert layer.merge({LINES: two.distinct()}).date_keys == (20240105,)
+    assert sorted(r.quantity for r in layer.read(LINES).filter("order_detail_id = 'a1'").collect()) == [5, 6]
+
+
+def test_null_keys_are_keys(spark, layer):
+    layer.merge({"ods_orders": orders(spark, order(None, (2, 8), 3))})
+    assert [r.final_amount for r in layer.read("ods_orders").filter("order_id is null").collect()] == [3]
+
+
+def test_tables_without_their_key_come_by_days(spark, tmp_path):
+    kind = "date date, store_id string, channel string, clicks int"
+    day = dt.date
+    layer = RawLayer(spark, str(tmp_path))
+    layer.load({"ods_product_traffic": spark.createDataFrame([(day(2024, 1, 1), "s", "c", 1)] * 2 + [(day(2024, 1, 2), "s", "c", 2), (day(2024, 2, 1), "s", "c", 3)], kind)})
+    new = spark.createDataFrame([(day(2024, 1, 1), "s", "c", 1)] * 2 + [(day(2024, 1, 2), "s", "c", 5)] * 3, kind)
+    assert layer.merge({"ods_product_traffic": new}).date_keys == (20240102,)
+    assert layer.merge({"ods_product_traffic": new}).version is None
+    assert sorted(r.clicks for r in layer.read("ods_product_traffic").collect()) == [1, 1, 3, 5, 5, 5]
+
+
+def test_a_failed_delivery_leaves_no_trace(spark, layer):
+    before = [rows_of(layer.read(name)) for name in ("ods_orders", LINES)]
+    broken = lines(spark, ("a1", "a", "k", 5)).withColumn("quantity", F.when(F.col("order_id") == "a", F.raise_error(F.lit("broken")).cast("int")))
+    with pytest.raises(Exception, match="broken"):
+        layer.merge({"ods_orders": orders(spark, order("a", (1, 5), 99)), LINES: broken})
+    assert [rows_of(layer.read(name)) for name in ("ods_orders", LINES)] == before
+    assert layer.merge({"ods_orders": orders(spark, order("a", (1, 5), 99))}).date_keys == (20240105,)
+
+
+def test_files_that_were_merged_are_not_read_again(spark, tmp_path):
+    headers = {column: header for header, column, _ in RAW_COLUMNS["ods_users"]}
+    users = spark.createDataFrame([("u1", "name", "男", 30, "city", dt.date(2024, 1, 1))], "user_id string, user_name string, gender string, age int, city string, register_date date")
+    csv_files.write_csv(users.withColumnsRenamed(headers), str(tmp_path / "csv" / "ods_users.csv"))
+    layer = RawLayer(spark, str(tmp_path / "raw"))
+    assert layer.merge_csv(str(tmp_path / "csv")).tables == ("ods_users",)
+    assert layer.merge_csv(str(tmp_path / "csv")).version is None
+    assert rows_of(layer.read("ods_users")) == rows_of(users)
+
+
+def test_lines_of_a_day_are_read_from_its_month(layer):
+    day = layer.read_dates(LINES, [20240105])
+    assert {re.search(r"month_key=(\w+)/", f).group(1) for f in day.inputFiles()} == {"202401"}
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[.*EqualTo\(_date_key,20240105\)", plan), plan
+
+
+# --- a warehouse over the layer
+
+TABLES = ("daily_report", "traffic_daily", *MERGED)
+
+
+@pytest.fixture(scope="module")
+def days(spark, tmp_path_factory):
+    store = TableStore(spark, str(tmp_path_factory.mktemp("days")))
+    return {name: store.replace(name, rows) for name, rows in some_days(spark).items()}
+
+
+@pytest.fixture(scope="module")
+def anew(spark, days, tmp_path_factory):
+    """All tables from all raw rows at once."""
+    warehouse = Warehouse(spark, days, str(tmp_path_factory.mktemp("anew")))
+    warehouse.refresh(TABLES)
+    return warehouse
+
+
+def split(frames, day, users=lambda rows: rows):
+    """What was there before a day, and the delivery of that day."""
+    on = F.lit(day).cast("date")
+    of_day = frames["ods_orders"].filter(F.to_date("order_time") == on).select("order_id")
+    first, then = {}, {}
+    for name, rows in frames.items():
+        if name == LINES:
+            first[name], then[name] = rows.join(of_day, "order_id", "left_anti"), rows.join(of_day, "order_id", "left_semi")
+        elif name in ("ods_stores", "ods_products"):
+            first[name] = rows
+        elif name == "ods_users":
+            first[name], then[name] = users(rows), rows
+        else:
+            when = F.to_date("order_time" if name == "ods_orders" else "date")
+            first[name], then[name] = rows.filter(~when.eqNullSafe(on)), rows.filter(when.eqNullSafe(on))
+    return first, then
+
+
+def content(warehouse, name, *without):
+    frame = warehouse.store.read(name)
+    return rows_of(frame.select(sorted(c for c in frame.columns if c not in without)))
+
+
+def test_catching_up_equals_a_full_refresh(spark, days, anew, tmp_path, monkeypatch):
+    """A delivered day, and users who come after their orders: the tables are as if built from all at once.
+
+    The first try fails half-way: readers keep the old tables, and the next try makes up for it.
+    """
+    first, then = split(days, "1996-03-04", lambda users: users.filter("hash(user_id) % 5 != 0"))
+    layer = RawLayer(spark, str(tmp_path / "raw"))
+    layer.load(first)
+    warehouse = Warehouse(spark, layer, str(tmp_path / "tables"))
+    assert warehouse.catch_up(TABLES) == []  # the first one is a full refresh
+    assert not warehouse.store.read("order_orphans").isEmpty()
+    before = {name: content(warehouse, name) for name in TABLES}
+    layer.merge(then)
+    with monkeypatch.context() as patch:
+        patch.setitem(MERGED, "user_total", lambda s: s["user_state_1d"].withColumn("x", F.raise_error(F.lit("broken"))))
+        with pytest.raises(Exception, match="broken"):
+            warehouse.catch_up(TABLES)
+    assert {name: content(warehouse, name) for name in TABLES} == before
+    assert warehouse.catch_up(TABLES) == [19960304]
+    assert warehouse.store.read("order_orphans").isEmpty()
+    assert warehouse.catch_up(TABLES) == []
+    for name in TABLES:  # keys of late users differ, as they are numbered when they come
+        assert content(warehouse, name, "user_key") == content(anew, name, "user_key"), name
+
+
+def test_a_refresh_of_dates_reads_their_months_only(spark, days, tmp_path):
+    """Facts and raw tables of another month can't be read any more, and the refresh does not notice."""
+    later = F.col("order_time") + F.expr("interval 2 months")
+    frames = dict(days)
+    frames["ods_orders"] = days["ods_orders"].unionByName(days["ods_orders"].withColumn("order_id", F.concat(F.lit("L"), "order_id")).withColumn("order_time", later))
+    frames[LINES] = days[LINES].unionByName(days[LINES].withColumn("order_id", F.concat(F.lit("L"), "order_id")).withColumn("order_detail_id", F.concat(F.lit("L"), "order_detail_id")))
+    layer = RawLayer(spark, str(tmp_path / "raw"))
+    layer.load(frames)
+    warehouse = Warehouse(spark, layer, str(tmp_path / "tables"))
+    tables = ("store_total", "user_total", "sales_monthly", "product_total")
+    warehouse.refresh(tables)
+    before = {name: content(warehouse, name) for name in tables}
+    lost = 0
+    for where in (tmp_path / "raw" / LINES, *[tmp_path / "tables" / name for name in ("fact_order", "fact_order_detail", "sales")]):
+        for part in where.glob("_version=*/month_key=199605/*.parquet"):
+            part.write_bytes(b"not a Parquet file")
+            (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+            lost += 1
+    assert lost >= 4
+    warehouse.refresh_dates([19960304], tables)
+    assert {name: content(warehouse, name) for name in tables} == before

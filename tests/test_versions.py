@@ -1,0 +1,102 @@
+"""Versions of tables: together or not at all."""
+
+import pytest
+from conftest import rows_of
+
+from retailoom.sources.versions import Conflict, VersionedStore
+
+
+def dated(spark, *rows):
+    return spark.createDataFrame(rows, "v string, date_key int")
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return VersionedStore(spark, str(tmp_path / "v"))
+
+
+def test_only_the_given_dates_change(spark, store):
+    store.replace("t", dated(spark, ("a", 20240101), ("b", 20240102), ("c", 20240203), ("n", None)), by_date=True)
+    rows = dated(spark, ("x", 20240102), ("ignored", 20240101), ("new", 20240304))
+    store.replace_dates("t", rows, [20240102, 20240203, 20240304])
+    assert rows_of(store.read("t")) == rows_of(dated(spark, ("a", 20240101), ("new", 20240304), ("x", 20240102), ("n", None)))
+    assert rows_of(store.read_dates("t", [20240102])) == [("x", 20240102)]
+    assert store.read_dates("t", [20240203]).isEmpty()
+    assert sorted(f.rsplit("=", 1)[1] for f in store.folders("t")) == ["202401", "202402", "202403", "__HIVE_DEFAULT_PARTITION__"]
+
+
+def test_untouched_months_are_not_written(spark, store):
+    store.replace("t", dated(spark, ("a", 20240101), ("b", 20240202)), by_date=True)
+    before = store.folders("t")
+    store.replace_dates("t", dated(spark, ("x", 20240202)), [20240202])
+    assert store.folders("t")[0] == before[0] and store.folders("t")[1] != before[1]
+
+
+def test_an_error_leaves_readers_on_the_old_version(spark, store):
+    with store.version():
+        store.replace("t", dated(spark, ("a", 20240101), ("b", 20240202)), by_date=True)
+        store.replace("u", dated(spark, ("old", 1)))
+    with pytest.raises(ZeroDivisionError), store.version():
+        store.replace("u", dated(spark, ("new", 2)))
+        store.replace_dates("t", dated(spark, ("x", 20240101)), [20240101])
+        assert rows_of(store.read("u")) == [("new", 2)]  # the writer sees what it wrote
+        assert rows_of(VersionedStore(spark, store.root).read("u")) == [("old", 1)]  # nobody else does
+        1 / 0
+    assert rows_of(store.read("u")) == [("old", 1)]
+    assert rows_of(store.read("t")) == [("a", 20240101), ("b", 20240202)]
+    with store.version():  # what the failed version left behind stays out of sight
+        store.replace_dates("t", dated(spark, ("y", 20240202)), [20240202])
+    assert rows_of(store.read("t")) == [("a", 20240101), ("y", 20240202)]
+    assert rows_of(store.read("u")) == [("old", 1)]
+
+
+def test_a_frame_stays_what_it_was(spark, store):
+    old = store.replace("t", dated(spark, ("a", 20240101)), by_date=True)
+    store.replace("t", dated(spark, ("b", 20240101)), by_date=True)
+    assert rows_of(old) == [("a", 20240101)] and rows_of(store.read("t")) == [("b", 20240101)]
+
+
+def test_of_two_writers_the_later_one_is_refused(spark, store):
+    store.replace("t", dated(spark, ("a", 20240101)))
+    other = VersionedStore(spark, store.root)
+    store.begin(), other.begin()
+    store.replace("t", dated(spark, ("first", 1)))
+    other.replace("t", dated(spark, ("second", 2)))
+    store.publish()
+    with pytest.raises(Conflict):
+        other.publish()
+    assert rows_of(store.read("t")) == rows_of(other.read("t")) == [("first", 1)]
+
+
+def test_earlier_versions_can_be_read(spark, store):
+    for n in range(3):
+        store.replace("t", dated(spark, (f"v{n}", 20240101)), by_date=True)
+    first = store.published()[0]
+    assert rows_of(VersionedStore(spark, store.root, as_of=first).read("t")) == [("v0", 20240101)]
+    with pytest.raises(RuntimeError):
+        VersionedStore(spark, store.root, as_of=first).begin()
+
+
+def test_clean_keeps_what_the_last_versions_show(spark, store):
+    store.replace("t", dated(spark, ("a", 20240101), ("b", 20240202)), by_date=True)
+    store.replace("u", dated(spark, ("u0", 1)))
+    for n in range(4):
+        with store.version():
+            store.replace_dates("t", dated(spark, (f"x{n}", 20240101)), [20240101])
+            store.replace("u", dated(spark, (f"u{n}", 1)))
+    before = {v: [rows_of(VersionedStore(spark, store.root, v).read(t)) for t in "tu"] for v in store.published()[-2:]}
+    gone = store.clean(keep=2)
+    assert gone and all("_version=" in folder for folder in gone)
+    assert before == {v: [rows_of(VersionedStore(spark, store.root, v).read(t)) for t in "tu"] for v in store.published()[-2:]}
+    assert store.clean(keep=2) == []
+
+
+def test_tables_without_rows(spark, store):
+    empty = dated(spark, ("a", 1)).limit(0)
+    assert store.find("t") is None
+    assert store.replace("t", empty, by_date=True).columns == ["v", "date_key"]
+    assert store.read_dates("t", [20240101]).isEmpty()
+    assert rows_of(store.replace_dates("t", dated(spark, ("a", 20240101)), [20240101])) == [("a", 20240101)]
+    assert store.replace("t", empty, by_date=True).isEmpty()
+    with pytest.raises(FileNotFoundError):
+        store.read("never")
