@@ -77,7 +77,9 @@ def pack(
     last = F.greatest(F.lit(0), F.floor((F.col("units") - 1) / capacity)).cast("int")
     pieces = rows.select("id", "units", "source", "cluster", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     start = F.col("piece").cast("long") * capacity
-    pieces = pieces.select("id", "piece", start.alias("start"), F.least(F.lit(capacity), F.col("units") - start).alias("n_units"), "source", "cluster")
+    # a stored number, as rows without an id would all land in one shard
+    number = F.monotonically_increasing_id().alias("row")
+    pieces = pieces.select("id", "piece", start.alias("start"), F.least(F.lit(capacity), F.col("units") - start).alias("n_units"), "source", "cluster", number)
     pieces = scratch.settle(pieces, "pieces")
     shards = -(-pieces.count() // shard_pieces) or 1
     schema = "id long, piece int, start long, n_units long, bin long, offset long"
@@ -89,7 +91,8 @@ def pack(
         frame["offset"] = [offset for _, offset in placed]
         return frame[["id", "piece", "start", "n_units", "bin", "offset"]]
 
-    shard = F.pmod(F.xxhash64("id", "piece"), F.lit(shards))
+    # rows of one id are told apart by what they are; the number stands in for a missing id
+    shard = F.pmod(F.xxhash64(F.coalesce("id", "row"), "piece", "source", "cluster", "n_units"), F.lit(shards))
     packed = pieces.where("n_units > 0").withColumn("shard", shard).groupBy("shard").applyInPandas(place, schema)
     empty = pieces.where("n_units = 0").select("id", "piece", "start", "n_units", F.lit(None).cast("long").alias("bin"), F.lit(None).cast("long").alias("offset"))
     return packed.unionByName(empty).withColumnRenamed("id", id_column)

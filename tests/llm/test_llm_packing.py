@@ -83,3 +83,10 @@ def test_same_result_whatever_the_order(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, units int")
     assert pack(docs, F.col("units"), 10).count() == 0
+
+
+def test_rows_without_an_id_are_spread_over_shards(spark):
+    """A third of the rows have no id; no shard is much fuller than others."""
+    docs = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit(60).alias("u"))
+    found = pack(docs, F.col("u"), 100, shard_pieces=500).groupBy((F.col("bin") / 2**32).cast("long").alias("shard")).count().collect()
+    assert len(found) == 12 and max(r["count"] for r in found) < 700
