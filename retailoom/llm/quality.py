@@ -10,6 +10,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,7 +100,7 @@ def train(
 ) -> QualityModel:
     """Fit on labelled rows of ``labels`` (id, 0 or 1); at most ``sample`` rows of either label are read.
 
-    The sample takes the rows with the smallest hash of their id. Ids that carry both labels, null ids and null labels are
+    The sample takes the rows with the smallest hash of their id; of several rows of an id the least text. Ids that carry both labels, null ids and null labels are
     left out. The curve is fitted on measures of each third of the sample under dictionaries made from the other two, and
     shifted back to the shares of the two labels among all rows; the dictionaries that score are made from the whole sample. Without rows of both labels every score is the share of label 1 (0.5 if there are none).
     """
@@ -115,8 +116,10 @@ def train(
         drawn = some if drawn is None else drawn.unionByName(some)
     # at most 2 * sample ids, so a broadcast is bounded
     every = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    rows = every.join(F.broadcast(drawn), "id").orderBy(F.xxhash64("id", F.lit(seed)), "id").select("y", "text").collect()
-    texts = {y: [(row.text or "").encode() for row in rows if row.y == y] for y in (0, 1)}
+    one = every.join(F.broadcast(drawn), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
+    rows = one.orderBy(F.xxhash64("id", F.lit(seed)), "id").select("y", F.col("text").cast("binary").alias("text")).toArrow()
+    texts = {y: [text or b"" for text in rows.filter(pc.equal(rows["y"], y))["text"].to_pylist()] for y in (0, 1)}
+    del rows
     flat = (np.zeros(2), np.ones(2), np.zeros(2), float(np.log(share / (1 - share))))
     if min(sum(map(bool, texts[y])) for y in (0, 1)) < FOLDS:
         return QualityModel(b"", b"", flat)
