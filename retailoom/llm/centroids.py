@@ -188,12 +188,9 @@ def with_inertia(found: DataFrame, centroids: np.ndarray, id_column: str = "vec_
     The digest is that of the centroid's components in decimal, joined by commas. Inertias add up squared distances.
     """
     spark = found.sparkSession
-    digests = [(n, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for n, c in enumerate(centroids.tolist())]
-    names = spark.createDataFrame(digests, "cluster int, centroid_sha256 string")
-    sums = found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own"))
-    every = found.agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("all"))
-    # k rows at most, so both sides of this product and the broadcast are bounded
-    facts = names.join(F.broadcast(sums), "cluster").join(F.broadcast(every))
-    facts = facts.select("cluster", F.col("own").cast("long").alias("cluster_inertia"), F.col("all").cast("long").alias("inertia"), "centroid_sha256")
-    rows = found.join(F.broadcast(facts), "cluster")
+    own = {row.cluster: int(row.own) for row in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own")).collect()}
+    total = sum(own.values())
+    facts = [(n, own[n], total, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for n, c in enumerate(centroids.tolist()) if n in own]
+    names = spark.createDataFrame(facts, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    rows = found.join(F.broadcast(names), "cluster")  # a row for each centroid
     return rows.select(F.col("id").alias(id_column), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
