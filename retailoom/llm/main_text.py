@@ -46,8 +46,16 @@ NO_ARTICLE_NAMES = frozenset(
     "commentlist disqus reply replies respond responses discussion related recommended recommendations widget widgets pagination pager toolbar search "
     "searchform skip hidden copyright disclaimer legal tags breadcrumbtrail".split()
 )
+# names of branches whose articles are not the page's
+FOREIGN_NAMES = frozenset(
+    "comment comments commentlist disqus reply replies respond responses discussion related recommended recommendations teaser promo promos".split()
+)
+# a name says nothing about its element if it begins, goes on or ends like this (has-sidebar, content-with-comments, ad-free)
+NOT_THIS = frozenset("has no not non with without tag category cat topic term".split())
+FREE_OF = frozenset("free news".split())
 HEADER_NAMES = frozenset(("header", "head", "topbar"))
 ARTICLE_TAGS = frozenset(("article", "main"))
+PROSE = frozenset("p h1 h2 h3 article main".split())
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>", re.S
@@ -60,11 +68,25 @@ def _hash(*parts) -> int:
     return int.from_bytes(blake2b("\x00".join(map(str, parts)).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def name_words(names: str) -> set[str]:
+    """Words of class and id names, without names that speak of what an element has, lacks or is filed under."""
+    words: set[str] = set()
+    for name in names.split():
+        parts = [w.lower() for w in _NAME.findall(name)]
+        if not NOT_THIS.isdisjoint(parts[:-1]) or (len(parts) > 1 and parts[-1] in FREE_OF):
+            continue
+        words.update(parts)
+    return words
+
+
 class Element:
-    __slots__ = ("tag", "path", "node", "out", "article", "children", "fixed")
+    """An open element. ``named``: only names say that it is no article, so an article inside is one; ``form``: in a form."""
+
+    __slots__ = ("tag", "path", "node", "out", "article", "children", "fixed", "named", "form")
 
-    def __init__(self, tag: str, path: str, node: int, out: bool, article: bool, fixed: bool):
+    def __init__(self, tag: str, path: str, node: int, out: bool, article: bool, fixed: bool, named: bool = False, form: bool = False):
         self.tag, self.path, self.node, self.out, self.article, self.fixed = tag, path, node, out, article, fixed
+        self.named, self.form = named, form
         self.children: list[str] = []
 
 
@@ -80,7 +102,12 @@ class Page:
         self.cut = cut
         self.stack = [Element("", "", 0, False, False, True)]
         self.pieces: list[str] = []
+        self.in_form: list[bool] = []
+        self.written = [0, 0]  # characters of headings and paragraphs outside and inside of forms
         self._read(source)
+        # a form around the page (all of it is one) is no form of it
+        if self.written[0] >= self.written[1]:
+            self.blocks = [block for block, inside in zip(self.blocks, self.in_form, strict=True) if not inside]
 
     def _read(self, source: str) -> None:
         at = 0
@@ -118,7 +145,11 @@ class Page:
             text = " ".join("".join(self.pieces).split())
             self.pieces = []
             if text:
-                self.blocks.append((text, tuple(e.node for e in self.stack if e.tag in BLOCK), self.stack[-1].article))
+                here = self.stack[-1]
+                self.blocks.append((text, tuple(e.node for e in self.stack if e.tag in BLOCK), here.article))
+                self.in_form.append(here.form)
+                if any(e.tag in PROSE for e in self.stack[-3:]):
+                    self.written[here.form] += len(text)
 
     def _open(self, tag: str, attributes: str) -> None:
         block = tag in BLOCK
@@ -130,31 +161,42 @@ class Page:
             self.pieces.append(" ")
         parent = self.stack[-1]
         names = ""
-        out, article = parent.out, parent.article
+        out, article, named, form = parent.out, parent.article, parent.named, parent.form or tag == "form"
+        words: set[str] = set()
+        says_main = tag in ARTICLE_TAGS
         if attributes:
             found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
             names = f"{found.get('class', '')} {found.get('id', '')}".strip()
-            words = {w.lower() for w in _NAME.findall(names)}
-            out = out or bool(words & NO_ARTICLE_NAMES) or found.get("role", "").lower() in NO_ARTICLE_ROLES or "hidden" in found
-            out = out or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-            out = out or not article and bool(words & HEADER_NAMES)
-            article = article or found.get("role", "").lower() == "main" or found.get("itemprop", "").lower() == "articlebody"
-        out = out or tag in NO_ARTICLE_TAGS or tag == "header" and not article
+            words = name_words(names)
+            role = found.get("role", "").lower()
+            says_main = says_main or role == "main" or found.get("itemprop", "").lower() == "articlebody"
+            hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+            if hidden or role in NO_ARTICLE_ROLES and not (role == "form" and form):
+                out, named = True, False
+        if tag in NO_ARTICLE_TAGS and tag != "form" or tag == "header" and not article:
+            out, named = True, False
+        by_name = bool(words & (NO_ARTICLE_NAMES if article else NO_ARTICLE_NAMES | HEADER_NAMES))
+        if says_main and words.isdisjoint(FOREIGN_NAMES):
+            if named:  # no name cuts an article, nor what holds one
+                out, named = False, False
+        elif by_name and not out:
+            out, named = True, words.isdisjoint(FOREIGN_NAMES)
+        article = article or says_main and words.isdisjoint(FOREIGN_NAMES)
         if tag in VOID:
             parent.children.append(tag)
             return
         if tag in ("html", "body"):
-            out = False
+            out = named = False
         if block:
             style = f"{tag}.{names}" if names and not any(c.isdigit() for c in names) else tag
             parent.children.append(style)
             node = _hash(parent.node, style)
             fixed = tag in ("html", "body") or tag in ARTICLE_TAGS
             if not fixed and node in self.cut:
-                out = True
+                out, named = True, False
         else:
             style, node, fixed = parent.path, parent.node, parent.fixed
-        self.stack.append(Element(tag, style, node, out, article or tag in ARTICLE_TAGS, fixed))
+        self.stack.append(Element(tag, style, node, out, article, fixed, named, form))
 
     def _end_implied(self, tag: str) -> None:
         closes = CLOSES.get(tag, ())
@@ -189,9 +231,10 @@ class Page:
         self.stack.pop()
 
     def text(self) -> str:
-        """The blocks of articles, or all that is left if the page marks none."""
+        """The blocks of articles, or all that is left if the page marks none, or only what is short beside the rest."""
+        every = [text for text, _, _ in self.blocks]
         inside = [text for text, _, article in self.blocks if article]
-        return "\n\n".join(inside or [text for text, _, _ in self.blocks])
+        return "\n\n".join(inside if 4 * sum(map(len, inside)) >= sum(map(len, every)) else every)
 
 
 def main_text(source: str | None, cut: frozenset[int] = frozenset()) -> str:

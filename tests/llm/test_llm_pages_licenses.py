@@ -37,6 +37,29 @@ def test_text_of_one_page(source, text):
     assert main_text(source) == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<div class='layout has-sidebar'><article><p>Text</p></article></div>", "Text"),
+        ("<div id='page' class='no-footer'><main><p>Text</p></main></div>", "Text"),
+        ("<div class='sidebar-layout'><div><article><p>Text</p></article><div>Side</div></div></div>", "Text"),
+        ("<article class='post tag-search category-social'><p>Text</p></article>", "Text"),
+        ("<div class='content-with-comments'><p>Text</p></div>", "Text"),
+        ("<div class='promo-free'><p>Text</p></div><div class='legal-news'><p>More</p></div>", "Text\n\nMore"),
+        ("<body><form><div><input value='x'><h1>T</h1><p>Text</p><select><option>a</select></div></form></body>", "T\n\nText"),
+        ("<p>Text of a page</p><form><p>Leave a reply</p><button>Send</button></form>", "Text of a page"),
+        ("<article class='teaser'>Card</article><div id='story'><p>A story that is longer</p></div>", "Card\n\nA story that is longer"),
+        ("<article><p>Text</p><section id='comments'><article><p>Reader</p></article></section></article>", "Text"),
+        ("<div class='related-posts'><article><p>Other</p></article></div><p>Text</p>", "Text"),
+        ("<div class='main-nav'>Menu</div><div class='siteFooter'>Foot</div><p>Text</p>", "Text"),
+        ("<article><nav>Menu</nav><div class='share-buttons'>Share</div><p>Text</p></article>", "Text"),
+        ("<nav><article><p>Menu</p></article></nav><p>Text</p>", "Text"),
+    ],
+)
+def test_names_do_not_cut_articles(source, text):
+    assert main_text(source) == text
+
+
 def site(n):
     """Pages of one host whose unnamed boxes at the top and the end are always the same."""
     return f"""<body><div><div>All our offers</div></div><div><h1>Story {n}</h1><p>Once {n} upon {n * 7} a time.</p><p>End {n * 3}.</p></div>
