@@ -25,17 +25,38 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     return kept.where("a <> b").distinct()
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Tells whether a step changed anything; edges run from the larger node to the smaller one."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def joined_components(groups: DataFrame | None, links: DataFrame, earlier: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Components after some more links: only these are worked on, between the components there were.
+
+    ``groups`` is what ``components`` gave for the links ``earlier``; None if it was not asked yet.
+    """
+    if groups is None:
+        return components(earlier.unionByName(links), scratch, name)
+    of = groups.select("id", "component")
+    ends = links.join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left")
+    between = ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = components(between, scratch, f"{name}-joined")
+    moved = groups.join(joined.toDF("component", "now"), "component", "left").select("id", F.coalesce("now", "component").alias("component"))
+    new = joined.join(groups.select("id"), "id", "left_anti")  # nodes that had no link before
+    return scratch.settle(moved.unionByName(new), name)
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
     """(id, component) of every node with an edge; component is the smallest node reachable.
 
     ``edges`` has two long columns a and b. A node with very many edges is a long list of rows, never one group: per
     node only a minimum is taken. Each step is stored, so the plan stays short. Nodes without edges don't appear.
     """
-    edges = edges.where("a <> b").distinct()
-    before = None
-    while True:
+    edges = scratch.settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    before = _digest(edges)
+    while before[0]:
         edges = scratch.settle(_stars(_stars(edges, small=False), small=True), name)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        now = _digest(edges)
         if now == before:
             break
         before = now

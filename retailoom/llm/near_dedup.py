@@ -6,7 +6,9 @@
    fixed size. Two signatures that agree in at least ``MATCHES`` coordinates share at least ``COLLISIONS`` of the first
    COORDINATES - MATCHES + COLLISIONS tokens in any common order. So only these prefixes are posted, tokens posted once
    are skipped, and collisions per pair are counted.
-3. Pairs with enough collisions are confirmed on their full sets.
+3. Pairs with enough collisions are confirmed on their full sets. Before these move, two bitmaps of a few bits a shingle
+   are compared: a bit that differs stands for a shingle that only one set has, so pairs with more differing bits than
+   the similarity allows are no links, and nearly all others are.
 
 A group of many similar texts is never spelled out in pairs. Leader rounds link members of a posting list to its most
 central one, and pairs inside one component are skipped from then on. Texts that still share enough tokens with texts of
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailoom.llm.graph import components
+from retailoom.llm.graph import components, joined_components
 from retailoom.llm.store import Scratch, bitmap, in_bitmap
 from retailoom.llm.text import BLACK, U64, grams, mix, signed, text_slices, words
 
@@ -190,6 +192,54 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def bitmaps(sets: DataFrame) -> DataFrame:
+    """(id, n, bits): a set as a bitmap of two to four bits for each of its n shingles (64 at least), placed by their hash."""
+
+    def draw(batches):
+        for batch in batches:
+            sizes, out = [], []
+            for raw in batch.column(1).to_pylist():
+                x = np.frombuffer(raw, U64)
+                width = max(6, int(2 * len(x) - 1).bit_length()) if len(x) else 6
+                bits = np.zeros(1 << width, bool)
+                bits[(mix(x) >> U64(64 - width)).astype(np.int64)] = True
+                sizes.append(len(x))
+                out.append(np.packbits(bits).tobytes())
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], ["id", "n", "bits"])
+
+    return sets.select("id", "shingles").mapInArrow(draw, "id long, n long, bits binary")
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """Bits that differ between two bitmaps; the finer one is first brought to the width of the other."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):  # places are leading bits of a hash, so neighbours fall together
+        a = np.packbits(np.unpackbits(a).reshape(len(b) * 8, -1).any(axis=1))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def possible(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bitmaps leave it open that the sets reach the similarity; no pair that does is lost.
+
+    Sets of n and m shingles reach it only if at most (n + m) * (100 - percent) / (100 + percent) shingles are in one of
+    them alone, and each of these accounts for one differing bit at most.
+    """
+
+    def compare(batches):
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+            keep = [(100 + percent) * _differing(x, y) <= (100 - percent) * (n + m) for n, x, m, y in zip(*columns, strict=True)]
+            mask = pa.array(keep, pa.bool_())
+            yield pa.record_batch([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+    first = bits.select(F.col("id").alias("a"), F.col("n").alias("n"), F.col("bits").alias("x"))
+    second = bits.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    both = pairs.select("a", "b").join(first, "a").join(second, "b")
+    return both.select("a", "b", "n", "x", "m", "y").mapInArrow(compare, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -247,6 +297,7 @@ def near_duplicates(
     mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
     ids = members.join(mixed, "token").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COLLISIONS).select("id")
     sets = scratch.settle(_shingle_sets(docs, id_column, text_column, shingle, scratch.settle(ids, "open"), classes), "open-sets")
+    bits = scratch.settle(bitmaps(sets), "bitmaps")
     prefixes = scratch.settle(set_prefixes(sets, sketch_bits, percent), "prefixes")
     often = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     central = prefixes.join(often, "token").groupBy("id").agg(F.sum("c").alias("central"))
@@ -255,8 +306,10 @@ def near_duplicates(
     for name, candidates in (("leaders", _leader_pairs), ("others", _other_pairs)):
         members = _with_group(prefixes, groups)
         pairs = candidates(members, 0, percent, 1) if name == "leaders" else candidates(members, percent)
-        edges = edges.unionByName(scratch.settle(confirmed(scratch.settle(pairs, f"pairs-{name}"), sets, percent), f"links-{name}"))
-        groups = components(edges, scratch, f"groups-{name}")
+        pairs = scratch.settle(possible(scratch.settle(pairs, f"pairs-{name}"), bits, percent), f"possible-{name}")
+        links = scratch.settle(confirmed(pairs, sets, percent), f"links-{name}")
+        groups = joined_components(groups, links, edges, scratch, f"groups-{name}")
+        edges = edges.unionByName(links)
 
     named = classes.join(groups, "id", "left").select("d1", "d2", "n_shingles", "id", F.coalesce("component", "id").alias("component"), "copies")
     # only classes that don't simply stand for themselves go into the join

@@ -4,10 +4,11 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from retailoom.llm.graph import components
-from retailoom.llm.near_dedup import near_duplicates
+from retailoom.llm.graph import components, joined_components
+from retailoom.llm.near_dedup import bitmaps, near_duplicates, possible
 from retailoom.llm.store import Scratch
 
 SCHEMA = "doc_id long, text string, id long, token string, component string"
@@ -96,6 +97,39 @@ def test_empty_table(spark):
     assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"] and found.count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_bitmaps_lose_no_link(spark, seed):
+    """Pairs that reach the similarity always pass; of pairs far from it hardly any do."""
+    rng = np.random.default_rng(seed)
+    sets, pairs, links, far = [], [], set(), set()
+    for n in range(120):
+        size = int(rng.integers(1, 900))
+        a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        b = np.concatenate((a[: int(size * rng.choice([0.2, 0.85, 0.9, 0.95, 1]))], rng.integers(0, 1 << 63, int(size * rng.choice([0, 0.05, 0.1, 3])), dtype=np.uint64)))
+        for i, x in ((2 * n, a), (2 * n + 1, b)):
+            sets.append((i, bytearray(np.unique(x).tobytes())))
+        pairs.append((2 * n, 2 * n + 1))
+        common, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        links |= {n} if 100 * common >= 80 * union and common else set()
+        far |= {n} if 100 * common < 40 * union and size > 200 else set()
+    bits = bitmaps(spark.createDataFrame(sets, "id long, shingles binary").repartition(3))
+    found = {r.a // 2 for r in possible(spark.createDataFrame(pairs, "a long, b long"), bits, 80).collect()}
+    assert links and links <= found and far and not far & found
+
+
+def test_components_after_more_links(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(45)]
+    frame = lambda some: spark.createDataFrame(some, "a long, b long")
+    scratch = Scratch(spark, "t")
+    groups = components(frame(edges[:20]), scratch)
+    groups = joined_components(groups, frame(edges[20:35]), frame(edges[:20]), scratch, "more")
+    groups = joined_components(groups, frame(edges[35:]), frame(edges[:35]), scratch, "most")
+    assert sorted(map(tuple, groups.collect())) == sorted(map(tuple, components(frame(edges), scratch).collect()))
+    none = joined_components(groups, frame(edges).limit(0), frame(edges), scratch, "none")
+    assert sorted(map(tuple, none.collect())) == sorted(map(tuple, groups.collect()))
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (5, 5), (3, 2), (20, 30), (30, 40), (40, 50), (50, 60), (60, 21)]
     star = [(100, n) for n in range(101, 160)]
