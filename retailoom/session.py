@@ -1,5 +1,7 @@
 """Session settings."""
 
+import re
+
 from pyspark.sql import SparkSession
 
 # What the results depend on, plus how skewed joins are treated.
@@ -45,7 +47,10 @@ def build_session(app_name: str = "retailoom", input_bytes: int | None = None, c
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables that driver and executors share.
 
-    It is what ``spark.checkpoint.dir`` names; where that is unset, a folder of the warehouse, which is shared as well.
+    It is what ``spark.checkpoint.dir`` names. Where that is unset and driver and executors are one process, as in tests,
+    it is a folder of the warehouse; on a cluster a folder that may be each machine's own is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored").rstrip("/")

@@ -1,0 +1,66 @@
+"""Differences between layers are found and named."""
+
+import random
+
+from conftest import rows_of
+
+from retailoom.operators.differences import differing_days, located_differences
+
+SCHEMA = "date_key int, order_id string, amount decimal(12,2), status string"
+
+
+def layers(spark, change=lambda rows: rows):
+    from decimal import Decimal
+
+    rows = [(20240101 + n % 7, f"o{n}", Decimal(n % 50), "done" if n % 3 else None) for n in range(2000)]
+    other = change([list(r) for r in rows])
+    random.Random(1).shuffle(other)
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(other, SCHEMA)
+
+
+def found(spark, change, buckets=64):
+    left, right = layers(spark, change)
+    return rows_of(located_differences(left, right, "date_key", ["order_id"], ["amount", "status"], buckets))
+
+
+def test_layers_that_agree(spark):
+    assert found(spark, lambda rows: rows) == []
+
+
+def test_two_swapped_amounts_are_named(spark):
+    """All sums agree, of the layer and of the day."""
+
+    def swap(rows):
+        rows[3][2], rows[10][2] = rows[10][2], rows[3][2]
+        return rows
+
+    assert found(spark, swap) == [(20240104, "o10", "amount", "10.00", "3.00"), (20240104, "o3", "amount", "3.00", "10.00")]
+    left, right = layers(spark, swap)
+    assert rows_of(differing_days(left, right, "date_key", ["order_id"], ["amount", "status"])) == [(20240104,)]
+
+
+def test_nulls_and_missing_rows(spark):
+    def change(rows):
+        rows[0][3], rows[1][3] = "done", None
+        rows[5][0] = None  # its day is lost
+        return rows[:1998]
+
+    assert set(found(spark, change)) == {
+        (20240101, "o0", "status", None, "done"), (20240102, "o1", "status", "done", None),
+        (20240106, "o5", "amount", "5.00", None), (20240106, "o5", "status", "done", None), (20240106, "o5", "(row)", "true", None),
+        (None, "o5", "amount", None, "5.00"), (None, "o5", "status", None, "done"), (None, "o5", "(row)", None, "true"),
+        (20240104, "o1998", "amount", "48.00", None), (20240104, "o1998", "(row)", "true", None),
+        (20240105, "o1999", "amount", "49.00", None), (20240105, "o1999", "status", "done", None), (20240105, "o1999", "(row)", "true", None),
+    }
+
+
+def test_values_that_trade_places_in_a_row(spark):
+    """A hash of nulls and values must not take (NULL, x) for (x, NULL)."""
+    left = spark.createDataFrame([(1, "a", None, "x")], "d int, k string, p string, q string")
+    right = spark.createDataFrame([(1, "a", "x", None)], "d int, k string, p string, q string")
+    assert rows_of(located_differences(left, right, "d", ["k"], ["p", "q"])) == [(1, "a", "p", None, "x"), (1, "a", "q", "x", None)]
+
+
+def test_no_rows(spark):
+    left, right = layers(spark)
+    assert located_differences(left.limit(0), right.limit(0), "date_key", ["order_id"], ["amount"]).isEmpty()
