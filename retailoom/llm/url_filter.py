@@ -1,23 +1,30 @@
 """URL filter: rules first, then a ratio of two character language models.
 
 Both models are Markov models of variable order: the chance of a character after the ``ORDER`` characters before it is
-smoothed towards that after fewer, down to none. Counts of n-grams are hashed to tables of fixed size and gathered from
-all URLs that the rules accept or reject. A URL without a rule is allowed if the log-likelihood difference per
-character reaches a threshold, calibrated on URLs that were held out of the counts.
+smoothed towards that after fewer, down to none. Their counts of character runs are rows keyed by a 64-bit hash, gathered
+from all URLs that the rules accept or reject, so they grow with the input. URLs are scored in blocks of bounded size,
+each of which gets the counts of its own runs only. A URL without a rule is allowed if the log-likelihood difference
+per character reaches a threshold, calibrated on URLs that were held out of the counts.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailoom.llm.text import U64, mix
+from retailoom.llm.store import Scratch
+from retailoom.llm.text import U64, mix, signed, text_slices
 
 ORDER = 5
-TABLE_BITS = 18
 CONCENTRATION = 2.0
 BINS = 4001  # of differences between -10 and 10 when the threshold is calibrated
 CLASSES = ("allow", "block")
+BLOCK_ROWS = 4096
+BLOCK_BYTES = 1 << 18  # of addresses in a block, unless one alone is longer
+HOT_SHARE = 4096  # a run that is more than this part of all runs of its length is joined by broadcast: so many a length at most
+START, END = 256, 257  # stand before and after an address, unlike any byte
 
 Rules = list[tuple[str, str, str]]
 
@@ -42,91 +49,150 @@ def ruled(host: Column, path: Column, rules: Rules) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def gram_hashes(url: str, order: int = ORDER) -> list[np.ndarray]:
-    """Hashes of the n-grams that end at each byte of a URL, for n = 0 to order + 1; \\x02 stands before it, \\x03 after."""
-    data = np.frombuffer(b"\x02" * order + url.encode() + b"\x03", np.uint8).astype(U64)
-    n = len(data) - order
-    out = [np.zeros(n, U64)]
-    value = np.zeros(n, U64)
+def run_hashes(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of 1 to order + 1 characters that end at each place of the rows of a slice, and where rows begin.
+
+    A row's places are the start before its first byte, its bytes and the end after them.
+    """
+    sizes = np.diff(offsets)
+    before = order + 1
+    first = offsets[:-1] + np.arange(len(sizes)) * (before + 1)  # of each row, with its markers, among all
+    chars = np.full(len(data) + len(sizes) * (before + 1), START, np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    chars[np.arange(len(data)) + (row + 1) * before + row] = data
+    chars[first + before + sizes] = END
+    chars = chars.astype(U64)
+    begins = np.concatenate(([0], np.cumsum(sizes + 2)))
+    places = np.arange(begins[-1]) + np.repeat(first + order - begins[:-1], sizes + 2)
+    value = np.zeros(len(chars), U64)
+    out = np.empty((order + 1, len(places)), U64)
     for back in range(order + 1):
-        value = mix(value * U64(257) + data[order - back : len(data) - back] + U64(1))
-        out.append(value)
-    return out
-
-
-def _contexts(url: str, order: int) -> list[np.ndarray]:
-    """Hashes of the 0 to order bytes before each byte."""
-    data = np.frombuffer(b"\x02" * order + url.encode() + b"\x03", np.uint8).astype(U64)
-    n = len(data) - order
-    out = [np.full(n, U64(7))]
-    value = np.full(n, U64(7))
-    for back in range(1, order + 1):
-        value = mix(value * U64(257) + data[order - back : len(data) - back] + U64(1))
-        out.append(value)
-    return out
-
-
-def _buckets(url: str, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order + 1, length) table places of the n-grams and of their contexts."""
-    shift = U64(64 - TABLE_BITS)
-    grams = np.stack([(mix(g + U64(n)) >> shift) for n, g in enumerate(gram_hashes(url, order)[1:])])
-    contexts = np.stack([(mix(c + U64(101 + n)) >> shift) for n, c in enumerate(_contexts(url, order))])
-    return grams.astype(np.int64), contexts.astype(np.int64)
-
-
-def differences(url: str, counts: np.ndarray, order: int = ORDER) -> float:
-    """(log P(url | allow) - log P(url | block)) / length; ``counts`` are (2, table) of n-grams and contexts together."""
-    grams, contexts = _buckets(url, order)
-    total = []
-    for table in counts:
-        p = np.full(grams.shape[1], 1 / 256)
-        for n in range(order + 1):
-            p = (table[grams[n]] + CONCENTRATION * p) / (table[contexts[n]] + CONCENTRATION)
-        total.append(np.log(np.minimum(p, 1.0)).sum())
-    return float((total[0] - total[1]) / grams.shape[1])
-
-
-def model_counts(labelled: DataFrame) -> np.ndarray:
-    """(2, table) counts over all rows (address, verdict)."""
+        value[back:] = mix(value[back:] * U64(263) + chars[: len(chars) - back] + U64(1 + 1000 * back))
+        out[back] = value[places]
+    return signed(out), begins
+
+
+def _differences(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """(log P(row | allow) - log P(row | block)) / length of each row; ``counts`` are (2, runs) of the sorted ``keys``."""
+    hashes, begins = run_hashes(data, offsets)
+    at = np.minimum(np.searchsorted(keys, hashes.ravel()), max(len(keys) - 1, 0))
+    known = (keys[at] == hashes.ravel()) if len(keys) else np.zeros(hashes.size, bool)
+    follows = np.ones(begins[-1], bool)
+    follows[begins[:-1]] = False
+    places = np.flatnonzero(follows)
+    logs = []
+    for of_class, total in zip(counts, totals, strict=True):
+        seen = (np.where(known, of_class[at], 0) if len(keys) else np.zeros(hashes.size, np.int64)).reshape(hashes.shape)
+        p = (seen[0, places] + CONCENTRATION / 256) / (total + CONCENTRATION)
+        for n in range(1, len(hashes)):
+            p = (seen[n, places] + CONCENTRATION * p) / (seen[n - 1, places - 1] + CONCENTRATION)
+        logs.append(np.log(p))
+    lengths = np.diff(begins) - 1
+    return np.add.reduceat(logs[0] - logs[1], begins[:-1] - np.arange(len(lengths))) / lengths
+
+
+def _addresses(batch: pa.RecordBatch | pa.Table) -> pa.Array:
+    """Host and path together, as bytes."""
+    host, path = (batch.column(name).cast(pa.large_binary()) for name in ("host", "path"))
+    if isinstance(host, pa.ChunkedArray):
+        host, path = host.combine_chunks(), path.combine_chunks()
+    return pc.binary_join_element_wise(host, path, pa.scalar(b"", pa.large_binary()))
+
+
+def model_counts(labelled: DataFrame) -> DataFrame:
+    """(run, length, allow, block): how often each run of characters occurs in all rows (host, path, verdict) of a class."""
 
     def count(batches):
-        total = np.zeros((2, 1 << TABLE_BITS), np.int64)
         for batch in batches:
-            for address, verdict in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                places = np.concatenate([x.ravel() for x in _buckets(address, ORDER)])
-                np.add.at(total[CLASSES.index(verdict)], places, 1)
-        which, place = np.nonzero(total)
-        yield pa.record_batch([pa.array(which.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(total[which, place])], ["which", "place", "n"])
+            allowed = np.array([v == CLASSES[0] for v in batch.column(2).to_pylist()], bool)
+            for first, last, data, offsets in text_slices(_addresses(batch), BLOCK_BYTES):
+                hashes, begins = run_hashes(data, offsets)
+                of = np.repeat(allowed[first:last], np.diff(begins))
+                for n, level in enumerate(hashes):
+                    run, at = np.unique(level, return_inverse=True)
+                    sums = [np.bincount(at[mask], minlength=len(run)) for mask in (of, ~of)]
+                    yield pa.record_batch([pa.array(run), pa.array(np.full(len(run), n + 1, np.int32)), *map(pa.array, sums)], ["run", "length", *CLASSES])
+
+    runs = labelled.select("host", "path", "verdict").mapInArrow(count, "run long, length int, allow long, block long")
+    return runs.groupBy("run", "length").agg(*[F.sum(name).alias(name) for name in CLASSES])
+
 
-    sums = labelled.select("address", "verdict").mapInArrow(count, "which int, place int, n long").groupBy("which", "place").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros((2, 1 << TABLE_BITS), np.int64)
-    out[sums["which"].to_numpy(), sums["place"].to_numpy()] = sums["n"].to_numpy()
-    return out
+def class_totals(labelled: DataFrame) -> np.ndarray:
+    """How many places the rows of each class have after their start: the count of the empty run."""
+    places = F.octet_length("host") + F.octet_length("path") + 1
+    row = labelled.agg(*[F.coalesce(F.sum(F.when(F.col("verdict") == name, places)), F.lit(0)) for name in CLASSES]).first()
+    return np.array(tuple(row), np.int64)
 
 
-def _scored(rows: DataFrame, counts: np.ndarray, *keep: str) -> DataFrame:
-    """Adds ``difference`` to rows whose first column is the address."""
-    frame = rows.select("address", *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields) + ", difference double"
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Adds ``unit``, the number of a row's block, dealt as the rows come; the result must be stored before it is used twice."""
 
-    def score(batches):
+    def deal(batches):
+        unit = TaskContext.get().partitionId() << 32
+        n = size = 0
         for batch in batches:
-            found = pa.array([differences(a, counts) for a in batch.column(0).to_pylist()], pa.float64())
-            yield pa.record_batch([*batch.columns, found], [*batch.schema.names, "difference"])
+            units = []
+            for host, path in zip(batch.column("host"), batch.column("path"), strict=True):
+                long_ = host.as_buffer().size + path.as_buffer().size
+                if n and (n == BLOCK_ROWS or size + long_ > BLOCK_BYTES):
+                    unit, n, size = unit + 1, 0, 0
+                n, size = n + 1, size + long_
+                units.append(unit)
+            yield pa.record_batch([*batch.columns, pa.array(units, pa.int64())], [*batch.schema.names, "unit"])
 
-    return frame.mapInArrow(score, schema)
+    return rows.mapInArrow(deal, _schema(rows) + ", unit long")
 
 
-def threshold(scored: DataFrame) -> float:
+def _schema(frame: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
+
+
+def counts_of_blocks(rows: DataFrame, model: DataFrame, totals: np.ndarray, scratch: Scratch) -> DataFrame:
+    """(unit, run, allow, block): what the model has counted of the runs that occur in each block."""
+
+    def needed(batches):
+        for batch in batches:
+            units = batch.column("unit").to_numpy()
+            for first, last, data, offsets in text_slices(_addresses(batch), BLOCK_BYTES):
+                hashes, begins = run_hashes(data, offsets)
+                of = np.repeat(units[first:last], np.diff(begins))
+                for unit in np.unique(of):
+                    runs = np.unique(hashes[:, of == unit])
+                    yield pa.record_batch([pa.array(np.full(len(runs), unit)), pa.array(runs)], ["unit", "run"])
+
+    wanted = rows.select("unit", "host", "path").mapInArrow(needed, "unit long, run long").distinct()
+    wanted = scratch.settle(wanted, "wanted")
+    often = F.col("allow") + F.col("block") > float(totals.sum()) / HOT_SHARE
+    hot = wanted.join(F.broadcast(model.where(often)), "run")
+    return hot.unionByName(wanted.join(model.where(~often), "run")).select("unit", "run", *CLASSES)
+
+
+def scored(rows: DataFrame, model: DataFrame, totals: np.ndarray, scratch: Scratch) -> DataFrame:
+    """Adds ``difference`` to rows with host, path and unit."""
+
+    def score(held: pa.Table, counted: pa.Table) -> pa.Table:
+        keys = counted.column("run").to_numpy()
+        order = np.argsort(keys)
+        counts = np.stack([counted.column(name).to_numpy()[order] for name in CLASSES])
+        found = np.zeros(held.num_rows)
+        for first, last, data, offsets in text_slices(_addresses(held), BLOCK_BYTES):
+            found[first:last] = _differences(data, offsets, keys[order], counts, totals)
+        return held.append_column("difference", pa.array(found))
+
+    counted = counts_of_blocks(rows, model, totals, scratch)
+    return rows.groupBy("unit").cogroup(counted.groupBy("unit")).applyInArrow(score, _schema(rows) + ", difference double")
+
+
+def threshold(held: DataFrame) -> float:
     """The difference at which the rates of held-out URLs judged right are highest, summed over both classes."""
     at = F.least(F.greatest(F.floor((F.col("difference") + 10) * ((BINS - 1) / 20)), F.lit(0)), F.lit(BINS - 1)).cast("int")
-    rows = scored.groupBy(at.alias("bin"), "verdict").agg(F.count(F.lit(1)).alias("n")).collect()
-    held = np.zeros((2, BINS))
+    rows = held.groupBy(at.alias("bin"), "verdict").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = np.zeros((2, BINS))
     for place, verdict, n in rows:
-        held[CLASSES.index(verdict), place] = n
-    if not held.sum(axis=1).all():
+        found[CLASSES.index(verdict), place] = n
+    if not found.sum(axis=1).all():
         return 0.0
-    allowed, blocked = (h / h.sum() for h in held)
+    allowed, blocked = (h / h.sum() for h in found)
     right = np.concatenate(([0], np.cumsum(blocked))) + 1 - np.concatenate(([0], np.cumsum(allowed)))
     best = np.flatnonzero(right >= right.max() - 1e-12)
     return float((best[0] + best[-1]) / 2 * 20 / (BINS - 1) - 10)
@@ -141,18 +207,25 @@ def judged_urls(pages: DataFrame, rules: Rules, id_column: str = "page_id", url_
     threshold is 0 and both models are as far as they were learned (uniform without any URL: difference 0, allowed).
     Rows are judged one by one: repeats come out repeated. The difference is null for rows with a rule.
     """
+    scratch = Scratch(pages.sparkSession, "urls")
     host, path = host_and_path(F.col(url_column).cast("string"))
     rows = pages.select(F.col(id_column).alias("id"), host.alias("host"), path.alias("path"))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
-    rows = rows.select("id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), F.concat("host", "path").alias("address"))
-    known = rows.where("verdict is not null").select("address", "verdict").distinct()
-    held = F.pmod(F.xxhash64("address"), F.lit(5)) == 0
-    counts = model_counts(known.where(~held))
-    least = threshold(_scored(known.where(held), counts, "verdict"))
-    open_ = _scored(rows.where("verdict is null"), counts, "id", "host", "path")
-    by_model = open_.select(
+    rows = rows.select("id", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
+    known = scratch.settle(rows.where("verdict is not null").select("host", "path", "verdict").distinct(), "known")
+    held = F.pmod(F.xxhash64(F.concat("host", "path")), F.lit(5)) == 0
+    learned = known.where(~held)
+    totals = class_totals(learned)
+    model = scratch.settle(model_counts(learned), "model")
+    unsure = rows.where("verdict is null").select("id", "host", "path", "verdict")
+    nobody = F.lit(None).cast(rows.schema["id"].dataType).alias("id")
+    unsure = unsure.unionByName(known.where(held).select(nobody, "host", "path", "verdict"))
+    unsure = scratch.settle(in_blocks(unsure), "blocks")
+    found = scratch.settle(scored(unsure, model, totals, scratch).drop("unit"), "scored")
+    least = threshold(found.where("verdict is not null"))
+    by_model = found.where("verdict is null").select(
         "id", "host", "path", F.lit(None).cast("string").alias("rule"),
         F.when(F.col("difference") >= least, "allow").otherwise("block").alias("verdict"), "difference",
-    )
+    )
     by_rule = rows.where("verdict is not null").select("id", "host", "path", "rule", "verdict", F.lit(None).cast("double").alias("difference"))
     return by_rule.unionByName(by_model).withColumnRenamed("id", id_column)

@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 from retailoom.llm import token_counts as T
 from retailoom.llm import url_filter as U
 from retailoom.llm.queries import URL_RULES
+from retailoom.llm.store import Scratch
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -111,31 +113,65 @@ def test_rules(spark):
         assert row.verdict == best[1] if best else row.verdict in ("allow", "block") and row.difference is not None
 
 
-def test_model_against_slow_counts(spark):
-    """Differences worked out from plain dictionaries of all n-grams (no hashed table)."""
-    known = [(f"a.org/{n % 9}/good{n}", "allow") for n in range(60)] + [(f"b.net/{n % 7}?bad{n}", "block") for n in range(50)]
-    counts = U.model_counts(spark.createDataFrame(known, "address string, verdict string"))
-    for url in ("a.org/1/good99", "b.net/3?bad1", "", "zzz"):
-        slow = []
-        for label in U.CLASSES:
-            grams, contexts = {}, {}
-            for address, verdict in known:
-                if verdict == label:
-                    text = b"\x02" * U.ORDER + address.encode() + b"\x03"
-                    for end in range(U.ORDER, len(text)):
-                        for n in range(U.ORDER + 1):
-                            g, c = text[end - n : end + 1], text[end - n : end]
-                            grams[g] = grams.get(g, 0) + 1
-                            contexts[(n, c)] = contexts.get((n, c), 0) + 1
-            text = b"\x02" * U.ORDER + url.encode() + b"\x03"
-            total = 0.0
+def slow_differences(known, urls):
+    """From plain dictionaries of all n-grams and contexts, as (kind, bytes) with a mark before and after an address."""
+    out = []
+    tables = []
+    for label in U.CLASSES:
+        grams, contexts = Counter(), Counter()
+        for address, verdict in known:
+            if verdict == label:
+                text = [U.START] * U.ORDER + list(address.encode()) + [U.END]
+                for end in range(U.ORDER, len(text)):
+                    for n in range(U.ORDER + 1):
+                        grams[tuple(text[end - n : end + 1])] += 1
+                        contexts[n, tuple(text[end - n : end])] += 1
+        tables.append((grams, contexts))
+    for url in urls:
+        text = [U.START] * U.ORDER + list(url.encode()) + [U.END]
+        total = []
+        for grams, contexts in tables:
+            log = 0.0
             for end in range(U.ORDER, len(text)):
                 p = 1 / 256
                 for n in range(U.ORDER + 1):
-                    p = (grams.get(text[end - n : end + 1], 0) + U.CONCENTRATION * p) / (contexts.get((n, text[end - n : end]), 0) + U.CONCENTRATION)
-                total += math.log(p)
-            slow.append(total)
-        assert U.differences(url, counts) == pytest.approx((slow[0] - slow[1]) / (len(url) + 1), abs=0.05)
+                    p = (grams[tuple(text[end - n : end + 1])] + U.CONCENTRATION * p) / (contexts[n, tuple(text[end - n : end])] + U.CONCENTRATION)
+                log += math.log(p)
+            total.append(log)
+        out.append((total[0] - total[1]) / (len(url.encode()) + 1))
+    return out
+
+
+@pytest.mark.parametrize(("block_rows", "block_bytes", "hot_share"), [(4096, 1 << 18, 4096), (3, 40, 4096), (4096, 1, 1)])
+def test_model_against_slow_counts(spark, monkeypatch, block_rows, block_bytes, hot_share):
+    """Differences are those of plain dictionaries, however the URLs are dealt to blocks and the runs to joins."""
+    monkeypatch.setattr(U, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(U, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(U, "HOT_SHARE", hot_share)
+    known = [(f"a.org/{n % 9}/good{n}", "allow") for n in range(60)] + [(f"b.net/{n % 7}?bad{n}", "block") for n in range(50)] + [("é\x02\x03\x02", "allow"), ("", "block")]
+    urls = ["a.org/1/good99", "b.net/3?bad1", "", "zzz", "é\x03x", "\x02", "a.org/" * 2000, "zzz"]
+    labelled = spark.createDataFrame([("", a, v) for a, v in known], "host string, path string, verdict string")
+    totals = U.class_totals(labelled)
+    assert list(totals) == [sum(len(a.encode()) + 1 for a, v in known if v == c) for c in U.CLASSES]
+    scratch = Scratch(spark, "test")
+    rows = spark.createDataFrame([(n, u[: len(u) // 2], u[len(u) // 2 :]) for n, u in enumerate(urls)], "id long, host string, path string")
+    rows = scratch.settle(U.in_blocks(rows), "rows")
+    model = scratch.settle(U.model_counts(labelled), "model")
+    assert model.count() == model.select("run").distinct().count() == len({r for a, _ in known for r in runs_of(a)})
+    found = {r.id: r.difference for r in U.scored(rows, model, totals, scratch).collect()}
+    assert [found[n] for n in range(len(urls))] == pytest.approx(slow_differences(known, urls), rel=1e-9, abs=1e-9)
+
+
+def runs_of(address):
+    text = [U.START] * (U.ORDER + 1) + list(address.encode()) + [U.END]
+    return {tuple(text[end - n : end + 1]) for end in range(U.ORDER, len(text)) for n in range(U.ORDER + 1)}
+
+
+def test_model_grows_with_the_urls(spark):
+    rng = random.Random(5)
+    addresses = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=60)) for _ in range(6000)]
+    labelled = spark.createDataFrame([("", a, "allow") for a in addresses], "host string, path string, verdict string")
+    assert U.model_counts(labelled).count() == len({r for a in addresses for r in runs_of(a)}) > 2**18
 
 
 def test_model_tells_held_out_urls_apart(spark):
