@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from retailoom.llm.centroids import cluster_vectors, with_inertia
 from retailoom.llm.decontaminate import contamination
 from retailoom.llm.fill_middle import digests
-from retailoom.llm.language import languages_of
+from retailoom.llm.language import languages_of_pages
 from retailoom.llm.licenses import license_scan
 from retailoom.llm.main_text import main_texts
 from retailoom.llm.near_dedup import near_duplicates
@@ -65,8 +65,7 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return languages_of(docs, declared=F.col("lang"), host=F.col("source")).drop("row_key")
+    return languages_of_pages(table(spark, sf_dir, "pages")).drop("row_key")
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@
 import uuid
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,33 @@ class Scratch:
         return self.spark.read.schema(frame.schema).parquet(path)
 
 
+def schema_text(frame: DataFrame) -> str:
+    """The columns of a frame as Python functions over Arrow name them."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
+
+
+def in_blocks(rows: DataFrame, sized: list[str], most_rows: int, most_bytes: int) -> DataFrame:
+    """Adds ``unit``, the number of a row's block: rows as they come, until there are many or their ``sized`` strings are long.
+
+    One longer row is a block of its own. The result must be stored before it is used twice.
+    """
+
+    def deal(batches):
+        unit = TaskContext.get().partitionId() << 32
+        n = size = 0
+        for batch in batches:
+            units = []
+            for values in zip(*[batch.column(name) for name in sized], strict=True):
+                long_ = sum(v.as_buffer().size for v in values if v.is_valid)
+                if n and (n == most_rows or size + long_ > most_bytes):
+                    unit, n, size = unit + 1, 0, 0
+                n, size = n + 1, size + long_
+                units.append(unit)
+            yield pa.record_batch([*batch.columns, pa.array(units, pa.int64())], [*batch.schema.names, "unit"])
+
+    return rows.mapInArrow(deal, schema_text(rows) + ", unit long")
+
+
 def bitmap(frame: DataFrame, hashed: Column, bits: int) -> np.ndarray:
     """A bit for each remainder of ``hashed`` that occurs. At most ``bits / 64`` longs ever reach the driver."""
     at = F.pmod(hashed, F.lit(bits))

@@ -10,11 +10,10 @@ per character reaches a threshold, calibrated on URLs that were held out of the
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailoom.llm.store import Scratch
+from retailoom.llm.store import Scratch, in_blocks, schema_text
 from retailoom.llm.text import U64, mix, signed, text_slices
 
 ORDER = 5
@@ -124,29 +123,6 @@ def class_totals(labelled: DataFrame) -> np.ndarray:
     return np.array(tuple(row), np.int64)
 
 
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """Adds ``unit``, the number of a row's block, dealt as the rows come; the result must be stored before it is used twice."""
-
-    def deal(batches):
-        unit = TaskContext.get().partitionId() << 32
-        n = size = 0
-        for batch in batches:
-            units = []
-            for host, path in zip(batch.column("host"), batch.column("path"), strict=True):
-                long_ = host.as_buffer().size + path.as_buffer().size
-                if n and (n == BLOCK_ROWS or size + long_ > BLOCK_BYTES):
-                    unit, n, size = unit + 1, 0, 0
-                n, size = n + 1, size + long_
-                units.append(unit)
-            yield pa.record_batch([*batch.columns, pa.array(units, pa.int64())], [*batch.schema.names, "unit"])
-
-    return rows.mapInArrow(deal, _schema(rows) + ", unit long")
-
-
-def _schema(frame: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
-
-
 def counts_of_blocks(rows: DataFrame, model: DataFrame, totals: np.ndarray, scratch: Scratch) -> DataFrame:
     """(unit, run, allow, block): what the model has counted of the runs that occur in each block."""
 
@@ -180,7 +156,7 @@ def scored(rows: DataFrame, model: DataFrame, totals: np.ndarray, scratch: Scrat
         return held.append_column("difference", pa.array(found))
 
     counted = counts_of_blocks(rows, model, totals, scratch)
-    return rows.groupBy("unit").cogroup(counted.groupBy("unit")).applyInArrow(score, _schema(rows) + ", difference double")
+    return rows.groupBy("unit").cogroup(counted.groupBy("unit")).applyInArrow(score, schema_text(rows) + ", difference double")
 
 
 def threshold(held: DataFrame) -> float:
@@ -220,7 +196,7 @@ def judged_urls(pages: DataFrame, rules: Rules, id_column: str = "page_id", url_
     unsure = rows.where("verdict is null").select("id", "host", "path", "verdict")
     nobody = F.lit(None).cast(rows.schema["id"].dataType).alias("id")
     unsure = unsure.unionByName(known.where(held).select(nobody, "host", "path", "verdict"))
-    unsure = scratch.settle(in_blocks(unsure), "blocks")
+    unsure = scratch.settle(in_blocks(unsure, ["host", "path"], BLOCK_ROWS, BLOCK_BYTES), "blocks")
     found = scratch.settle(scored(unsure, model, totals, scratch).drop("unit"), "scored")
     least = threshold(found.where("verdict is not null"))
     by_model = found.where("verdict is null").select(

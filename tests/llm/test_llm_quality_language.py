@@ -3,8 +3,10 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -97,28 +99,111 @@ def test_odd_rows_of_languages(spark):
     assert L.languages_of(docs.limit(0), "id", declared=F.col("lang")).count() == 0
 
 
-def test_counts_and_likelihoods_against_brute_force(spark):
-    docs = small(spark)
-    rows = docs.selectExpr("id", "0L key", "lang declared", "host", "suffix", "text")
-    counts = L.gram_counts(rows, ["de", "en"])
-
-    def code(a, b, c):
-        low = [32 if x < 33 else x + 32 if 65 <= x <= 90 else x for x in (a, b, c)]
-        return ((low[0] << 16 | low[1] << 8 | low[2]) * 2654435761 & 0xFFFFFFFF) >> (32 - L.GRAM_BITS)
-
-    expected = np.zeros_like(counts)
-    grams = {}
-    for r in docs.collect():
-        data = r.text.encode()
-        grams[r.id] = [code(*data[i : i + 3]) for i in range(len(data) - 2)]
-        for g in grams[r.id]:
-            expected[("de", "en").index(r.lang), g] += 1
-    assert (counts == expected).all()
-    table_ = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * counts.shape[1]))
-    for r in L._likelihoods(rows, table_).collect():
-        n = len(grams[r.id])
-        for i in (0, 1):
-            assert math.isclose(r.likelihoods[i], sum(table_[i][g] for g in grams[r.id]) * min(n, L.TEXT_WEIGHT) / n, rel_tol=1e-9)
+def trigrams(text):
+    low = [32 if x < 33 else x + 32 if 65 <= x <= 90 else x for x in text.encode()]
+    return list(zip(low, low[1:], low[2:], strict=False))
+
+
+def slow_judgement(rows):
+    """language, confidence and likelihoods of (id, text, declared, host, suffix), by dictionaries; all texts must fit."""
+    languages = sorted({r[2] for r in rows if r[2]})
+    counts = {l: Counter(g for r in rows if r[2] == l for g in trigrams(r[1])) for l in languages}
+    cells = len({g for c in counts.values() for g in c}) + 1
+    sizes = {l: sum(counts[l].values()) + 0.5 * cells for l in languages}
+    likelihood, vote = {}, {}
+    for i, text, *_ in rows:
+        grams = trigrams(text)
+        weight = min(len(grams), L.TEXT_WEIGHT) / max(len(grams), 1)
+        likelihood[i] = {l: weight * sum(math.log((counts[l][g] + 0.5) / sizes[l]) for g in grams) for l in languages}
+        vote[i] = max(languages, key=lambda l: likelihood[i][l])
+    votes = [(vote[r[0]], *r[2:]) for r in rows if len(r[1].encode()) > 2]
+
+    def given(column, value):
+        if value is None or not any(v[column] == value for v in votes):
+            return dict.fromkeys(languages, 0.0)
+        some = [v for v in votes if v[column] is not None]
+        of_value, whole = Counter(v[0] for v in some if v[column] == value), Counter(v[0] for v in some)
+        share = L.SMOOTHING * (sum(of_value.values()) + 1) / (len(some) + len({v[column] for v in some}))
+        return {l: math.log((of_value[l] + share) / (whole[l] + L.SMOOTHING)) for l in languages}
+
+    def prior(host):
+        everything = Counter(v[0] for v in votes)
+        base = {l: (everything[l] + 1) / (len(votes) + len(languages)) for l in languages}
+        if host is None or not any(v[2] == host for v in votes):
+            return {l: math.log(base[l]) for l in languages}
+        of_host = Counter(v[0] for v in votes if v[2] == host)
+        of_domain = Counter(v[0] for v in votes if v[2] and v[2].split(".")[-2:] == host.split(".")[-2:])
+        smooth = {l: (of_domain[l] + L.SMOOTHING * base[l]) / (sum(of_domain.values()) + L.SMOOTHING) for l in languages}
+        return {l: math.log((of_host[l] + L.SMOOTHING * smooth[l]) / (sum(of_host.values()) + L.SMOOTHING)) for l in languages}
+
+    out = {}
+    for i, _, declared, host, suffix in rows:
+        said, ends, before = given(1, declared), given(3, suffix), prior(host)
+        p = {l: likelihood[i][l] + said[l] + ends[l] + before[l] for l in languages}
+        best = max(languages, key=lambda l: p[l])
+        out[i] = best, 1 / sum(math.exp(x - p[best]) for x in p.values()), likelihood[i]
+    return out
+
+
+@pytest.mark.parametrize(("sent", "block"), [(1 << 20, 1 << 20), (0, 1 << 20), (0, 100)])
+def test_posterior_against_brute_force(spark, monkeypatch, sent, block):
+    """Likelihoods and fused posteriors, with the counts in every task or joined to blocks of texts."""
+    monkeypatch.setattr(L._likelihoods, "__defaults__", (sent,))
+    monkeypatch.setattr(L, "BLOCK_BYTES", block)
+    rng = random.Random(11)
+    words = {"en": "the and with from house water".split(), "de": "der und mit von haus wasser".split(), "nl": "de en met van huis water".split()}
+    rows = []
+    for n in range(90):
+        l = ("en", "de", "nl")[n % 3]
+        said = rng.choice((l, l, l, "en", None))
+        rows.append((n, " ".join(rng.choices(words[l], k=rng.choice((2, 5, 20)))), said, rng.choice((f"{l}.a.org", f"www.{l}.com", "x.b.net", None)), rng.choice(("org", "com", None))))
+    docs = spark.createDataFrame(rows, "id long, text string, declared string, host string, suffix string")
+    slow = slow_judgement(rows)
+    found = L.languages_of(docs, "id", declared=F.col("declared"), host=F.col("host"), suffix=F.col("suffix")).collect()
+    assert len(found) == 90 and all(r.fit is not None for r in found)
+    for r in found:
+        language, confidence, _ = slow[r.id]
+        assert (r.language, r.confidence) == (language, pytest.approx(confidence, rel=1e-9))
+
+
+def test_three_hundred_languages(spark):
+    """None is left out, neither languages nor suffixes: each text of 20 words of its language is told by them."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    codes = [a + b for a in letters for b in letters][:300]
+    rows = []
+    for i, code in enumerate(codes):
+        own = ["".join(rng.choices(letters, k=6)) for _ in range(12)]
+        rows += [(i * 3 + k, " ".join(rng.choices(own, k=20)), code if k < 2 else None, f"{code}.example.{code}", code) for k in range(3)]
+    docs = spark.createDataFrame(rows, "id long, text string, lang string, host string, suffix string")
+    found = {r.id: r for r in L.languages_of(docs, "id", declared=F.col("lang"), host=F.col("host"), suffix=F.col("suffix")).collect()}
+    assert all(found[i].language == codes[i // 3] and found[i].accepted for i, *_ in rows)
+
+
+def test_language_of_pages(spark):
+    pages = table(spark, SF_DIR, "pages")
+    found = QUERIES["op5_language_id"](spark, SF_DIR).collect()
+    assert len(found) == pages.count() and np.mean([r.language == r.declared for r in found]) >= 0.95
+    words = {"en": "the and with from house water", "de": "der und mit von haus wasser"}
+    rows = [(n, f"http://{l}.example.{l}:80/x", f"<html class=a lang='{l.upper()}-xx'><body><nav>menu</nav><p>{words[l]} {n}</p>") for n, l in enumerate(("en", "de") * 20)]
+    odd = [(100, None, None), (101, "", ""), (102, "no scheme", "<p>der und mit von</p>"), (None, "http://en.example.en", "<p>the and with"), (102, "no scheme", "<p>der und mit von</p>")]
+    frame = spark.createDataFrame([(*r, "en", "h") for r in rows + odd], "page_id long, url string, html string, language string, host string")
+    judged = L.languages_of_pages(frame).collect()
+    assert len(judged) == 45
+    for r in judged:
+        wanted = "en" if r.page_id is None else ("en", "de")[r.page_id % 2] if r.page_id < 40 else "de" if r.page_id == 102 else None
+        assert r.language == wanted and r.declared == (wanted if r.page_id is not None and r.page_id < 40 else None)
+    assert L.languages_of_pages(frame.limit(0)).count() == 0
+
+
+def test_markup_and_suffix(spark):
+    pages = [
+        ("<!DOCTYPE html><HTML class='a' LANG=fr-CA>", "a.b.fr", "fr-CA", "fr"), ('<html xml:lang="de">', "b.de:8080", "de", "de"), ("<html data-lang='x'><p lang='es'>", "10.0.0.1", None, None),
+        ('<html><head><meta http-equiv="Content-Language" content="es">', "localhost", "es", None), (None, None, None, None), ("", "", None, None),
+    ]
+    frame = spark.createDataFrame([p[:2] for p in pages], "html string, host string")
+    found = frame.select(L.markup_language(F.col("html")), L.suffix_of(F.col("host"))).collect()
+    assert [tuple(r) for r in found] == [p[2:] for p in pages]
 
 
 FOREIGN = {

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from retailoom.llm import token_counts as T
 from retailoom.llm import url_filter as U
 from retailoom.llm.queries import URL_RULES
-from retailoom.llm.store import Scratch
+from retailoom.llm.store import Scratch, in_blocks
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -145,8 +145,6 @@ def slow_differences(known, urls):
 @pytest.mark.parametrize(("block_rows", "block_bytes", "hot_share"), [(4096, 1 << 18, 4096), (3, 40, 4096), (4096, 1, 1)])
 def test_model_against_slow_counts(spark, monkeypatch, block_rows, block_bytes, hot_share):
     """Differences are those of plain dictionaries, however the URLs are dealt to blocks and the runs to joins."""
-    monkeypatch.setattr(U, "BLOCK_ROWS", block_rows)
-    monkeypatch.setattr(U, "BLOCK_BYTES", block_bytes)
     monkeypatch.setattr(U, "HOT_SHARE", hot_share)
     known = [(f"a.org/{n % 9}/good{n}", "allow") for n in range(60)] + [(f"b.net/{n % 7}?bad{n}", "block") for n in range(50)] + [("é\x02\x03\x02", "allow"), ("", "block")]
     urls = ["a.org/1/good99", "b.net/3?bad1", "", "zzz", "é\x03x", "\x02", "a.org/" * 2000, "zzz"]
@@ -155,7 +153,7 @@ def test_model_against_slow_counts(spark, monkeypatch, block_rows, block_bytes,
     assert list(totals) == [sum(len(a.encode()) + 1 for a, v in known if v == c) for c in U.CLASSES]
     scratch = Scratch(spark, "test")
     rows = spark.createDataFrame([(n, u[: len(u) // 2], u[len(u) // 2 :]) for n, u in enumerate(urls)], "id long, host string, path string")
-    rows = scratch.settle(U.in_blocks(rows), "rows")
+    rows = scratch.settle(in_blocks(rows, ["host", "path"], block_rows, block_bytes), "rows")
     model = scratch.settle(U.model_counts(labelled), "model")
     assert model.count() == model.select("run").distinct().count() == len({r for a, _ in known for r in runs_of(a)})
     found = {r.id: r.difference for r in U.scored(rows, model, totals, scratch).collect()}
