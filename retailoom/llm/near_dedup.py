@@ -7,8 +7,8 @@
    COORDINATES - MATCHES + COLLISIONS tokens in any common order. So only these prefixes are posted, tokens posted once
    are skipped, and collisions per pair are counted.
 3. Pairs with enough collisions are confirmed on their full sets. Before these move, two bitmaps of a few bits a shingle
-   are compared: a bit that differs stands for a shingle that only one set has, so pairs with more differing bits than
-   the similarity allows are no links, and nearly all others are.
+   are compared, which hold parities: a bit that differs stands for a shingle that only one set has, so pairs with more
+   differing bits than the similarity allows are no links, and nearly all others are.
 
 A group of many similar texts is never spelled out in pairs. Leader rounds link members of a posting list to its most
 central one, and pairs inside one component are skipped from then on. Texts that still share enough tokens with texts of
@@ -186,6 +186,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep)
             yield pa.record_batch([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
+    ends = bitmap(_ends(pairs), F.xxhash64("id"), FILTER_BITS)
+
+    def needed(batches):
+        for batch in batches:
+            yield pa.record_batch(batch.columns[:2], ["id", "shingles"]).filter(pa.array(in_bitmap(ends, batch.column(2).to_numpy(zero_copy_only=False))))
+
+    # sets of no pair stay where they are
+    sets = sets.select("id", "shingles", F.xxhash64("id").alias("h")).mapInArrow(needed, "id long, shingles binary")
     first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.select("a", "b").join(first, "a").join(second, "b")
@@ -193,7 +201,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def bitmaps(sets: DataFrame) -> DataFrame:
-    """(id, n, bits): a set as a bitmap of two to four bits for each of its n shingles (64 at least), placed by their hash."""
+    """(id, n, bits): two to four bits for each of the n shingles of a set (64 at least), that hold parities.
+
+    A bit is set if the number of shingles whose hash falls there is odd. So the bits in which two sets differ are the
+    parities of the shingles that only one of them has: what they share cancels out, however full the bitmap is.
+    """
 
     def draw(batches):
         for batch in batches:
@@ -201,8 +213,7 @@ def bitmaps(sets: DataFrame) -> DataFrame:
             for raw in batch.column(1).to_pylist():
                 x = np.frombuffer(raw, U64)
                 width = max(6, int(2 * len(x) - 1).bit_length()) if len(x) else 6
-                bits = np.zeros(1 << width, bool)
-                bits[(mix(x) >> U64(64 - width)).astype(np.int64)] = True
+                bits = np.bincount((mix(x) >> U64(64 - width)).astype(np.int64), minlength=1 << width) & 1
                 sizes.append(len(x))
                 out.append(np.packbits(bits).tobytes())
             yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], ["id", "n", "bits"])
@@ -216,7 +227,7 @@ def _differing(x: bytes, y: bytes) -> int:
     if len(a) < len(b):
         a, b = b, a
     if len(a) > len(b):  # places are leading bits of a hash, so neighbours fall together
-        a = np.packbits(np.unpackbits(a).reshape(len(b) * 8, -1).any(axis=1))
+        a = np.packbits(np.bitwise_xor.reduce(np.unpackbits(a).reshape(len(b) * 8, -1), axis=1))
     return int(np.bitwise_count(a ^ b).sum())
 
 
@@ -289,14 +300,16 @@ def near_duplicates(
     groups = None
     for turn in range(leader_rounds):
         pairs = scratch.settle(_leader_pairs(_with_group(left, groups), turn, percent), f"pairs-{turn}")
-        sets = _shingle_sets(docs, id_column, text_column, shingle, _ends(pairs), classes)
+        wanted = scratch.settle(classes.join(_ends(pairs), "id").select("id", "d1"), f"wanted-{turn}")
+        sets = _shingle_sets(docs, id_column, text_column, shingle, wanted)
         edges = edges.unionByName(scratch.settle(confirmed(pairs, sets, percent), f"links-{turn}"))
         groups = components(edges, scratch, f"groups-{turn}")
     # texts that still share enough tokens with texts of other components
     members = _with_group(left, groups)
     mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
     ids = members.join(mixed, "token").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COLLISIONS).select("id")
-    sets = scratch.settle(_shingle_sets(docs, id_column, text_column, shingle, scratch.settle(ids, "open"), classes), "open-sets")
+    wanted = scratch.settle(classes.join(ids, "id").select("id", "d1"), "open")
+    sets = scratch.settle(_shingle_sets(docs, id_column, text_column, shingle, wanted), "open-sets")
     bits = scratch.settle(bitmaps(sets), "bitmaps")
     prefixes = scratch.settle(set_prefixes(sets, sketch_bits, percent), "prefixes")
     often = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -323,13 +336,13 @@ def near_duplicates(
     )
 
 
-def _shingle_sets(docs: DataFrame, id_column: str, text_column: str, shingle: int, ids: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, shingles) of some classes; texts are read again and filtered where they are, not shuffled."""
-    wanted = bitmap(ids, F.xxhash64("id"), FILTER_BITS)
+def _shingle_sets(docs: DataFrame, id_column: str, text_column: str, shingle: int, wanted: DataFrame) -> DataFrame:
+    """(id, shingles) of the stored classes (id, d1); texts are read again and filtered where they are, not shuffled."""
+    places = bitmap(wanted, F.xxhash64("id"), FILTER_BITS)
 
     def build(batches):
         for batch in batches:
-            mask = in_bitmap(wanted, batch.column(2).to_numpy(zero_copy_only=False))
+            mask = in_bitmap(places, batch.column(2).to_numpy(zero_copy_only=False))
             if not mask.any():
                 continue
             mask = pa.array(mask)
@@ -345,7 +358,7 @@ def _shingle_sets(docs: DataFrame, id_column: str, text_column: str, shingle: in
     own = F.col(id_column).cast("long")
     rows = docs.where(own.isNotNull()).select(own.alias("id"), F.col(text_column).alias("text"), F.xxhash64(own).alias("h"))
     built = rows.mapInArrow(build, "id long, d1 long, shingles binary")
-    return built.join(classes.join(ids, "id").select("id", "d1"), ["id", "d1"]).select("id", "shingles")
+    return built.join(wanted, ["id", "d1"]).select("id", "shingles")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
