@@ -1,7 +1,8 @@
 """License scan with built-in functions only.
 
-Lines of a text that speak of licensing, and licence files as wholes, are compared with templates by the cosine of sparse
-TF-IDF vectors. A file without a licence of its own takes that of the licence file in the nearest directory above it.
+Lines, sentences and paragraphs of a text that speak of licensing, and licence files as wholes, are compared with
+templates by the cosine of sparse TF-IDF vectors. A file without a licence of its own takes that of the licence file in
+the nearest directory above it.
 """
 
 import math
@@ -41,6 +42,8 @@ TEMPLATES = {
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
         "SPDX-License-Identifier: GPL-2.0-only",
     ),
@@ -49,12 +52,41 @@ TEMPLATES = {
         "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "SPDX-License-Identifier: LGPL-3.0-only",
     ),
+    "LGPL-2.1": (
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ),
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
@@ -78,9 +110,25 @@ TEMPLATES = {
         "This is free and unencumbered software released into the public domain.",
     ),
 }
-CUES = ("licens", "licenc", "spdx", "redistribut", "permission is hereby", "creative commons", "public domain", "cc0", "cc by", "waived all copyright")
+CUES = ("licens", "licenc", "spdx", "redistribut", "permission is hereby", "permission to use", "creative commons", "public domain", "cc0", "cc by", "waived all copyright")
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense)([-._][^/]*)?$"
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
+# a version that a text names after one of these words; ".0" at its end says nothing
+VERSION = r"(?:version|\bv\.?|\b[al]?gpl|\bmpl|\bepl|apache|license|\bby|\bsa|\bnc|\bcc0)[-, ]{0,2}v?([0-9]+(?:\.[0-9]+)*)"
+LINE = "\r\n|\r|\n"
+# lines without a letter or digit (comment marks and the like) end a paragraph, too
+PARAGRAPH = r"(?:\r\n|\r|\n)[^\p{L}\p{N}\r\n]*(?:\r\n|\r|\n)"
+SENTENCE = r"(?<=[.!?])[ \t\r\n]+(?=[^\p{L}\p{N}\r\n]*[A-Z])|[ \t][|][ \t]"
+
+
+def _plain_version(found: str) -> str:
+    return re.sub(r"\.0$", "", found)
+
+
+def version_of_license(name: str) -> str | None:
+    """The version in a licence's name, as texts have it without ".0"; "3-Clause" is none."""
+    found = re.search(r"-([0-9]+\.[0-9]+)$", name)
+    return _plain_version(found[1]) if found else None
 
 
 def _weights(templates: dict[str, tuple[str, ...]]) -> tuple[dict[str, float], list[tuple[str, bool, dict[str, float]]]]:
@@ -103,31 +151,93 @@ def _map(values: dict[str, float]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _counted(words: Column) -> Column:
+    """array<struct<w, n>> of the distinct words: they are sorted and runs are cut, so a long text costs n log n."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return _bound(
+            starts,
+            lambda at: F.transform(at, lambda i, j: F.struct(F.get(s, i).alias("w"), (F.coalesce(F.get(at, j + 1), F.size(s)) - i).alias("n"))),
+        )
+
+    return F.when(F.size(words) > 0, _bound(F.array_sort(words), runs))
+
+
 def _best(text: Column, whole: Column, templates: dict[str, tuple[str, ...]]) -> Column:
-    """struct(cosine, minus, license) of the closest template of one text; ``whole`` compares with licences as wholes."""
+    """struct(cosine, license) of the closest template of one text; ``whole`` compares with licences as wholes.
+
+    Templates of another version than those that the text names are left out.
+    """
     idf, vectors = _weights(templates)
     rare = math.log(1 + sum(map(len, templates.values()))) + 1  # words of no template
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), 0)
-    distinct = F.array_distinct(words)
+    versions = F.transform(F.regexp_extract_all(F.lower(text), F.lit(VERSION), 1), lambda v: F.regexp_replace(v, r"\.0$", ""))
     weigh = F.transform(
-        distinct,
-        lambda w: F.struct(w.alias("w"), (F.size(F.filter(words, lambda x: x == w)) * F.coalesce(F.element_at(_map(idf), w), F.lit(rare))).alias("x")),
+        _counted(F.regexp_extract_all(F.lower(text), F.lit(WORD), 0)),
+        lambda t: F.struct(
+            t["w"].alias("w"),
+            (t["n"] * F.coalesce(F.element_at(_map(idf), t["w"]), F.lit(rare))).alias("x"),
+            F.map_contains_key(_map(idf), t["w"]).alias("known"),
+        ),
     )
-    units = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(kind).alias("whole"), _map(vector).alias("v")) for name, kind, vector in vectors])
-
-    def compare(vector: Column) -> Column:
-        norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, t: a + t["x"] * t["x"]))
-        found = F.transform(
-            F.filter(units, lambda u: u["whole"] == whole),
-            lambda u: F.struct(
-                F.round(F.aggregate(vector, F.lit(0.0), lambda a, t: a + t["x"] * F.coalesce(F.element_at(u["v"], t["w"]), F.lit(0.0))) / norm, 6).alias("cosine"),
-                u["license"].alias("license"),
+    units = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("license"), F.lit(kind).alias("whole"), F.lit(version_of_license(name)).cast("string").alias("version"), _map(vector).alias("v")
+            )
+            for name, kind, vector in vectors
+        ]
+    )
+
+    def compare(part: Column) -> Column:
+        norm = F.sqrt(F.aggregate(part["vector"], F.lit(0.0), lambda a, t: a + t["x"] * t["x"]))
+        fits = F.filter(
+            units,
+            lambda u: (u["whole"] == whole) & (u["version"].isNull() | (F.size(part["versions"]) == 0) | F.array_contains(part["versions"], u["version"])),
+        )
+        found = _bound(
+            F.struct(norm.alias("norm"), F.filter(part["vector"], lambda t: t["known"]).alias("known")),
+            lambda k: F.transform(
+                fits,
+                lambda u: F.struct(
+                    F.round(F.aggregate(k["known"], F.lit(0.0), lambda a, t: a + t["x"] * F.coalesce(F.element_at(u["v"], t["w"]), F.lit(0.0))) / k["norm"], 6).alias("cosine"),
+                    u["license"].alias("license"),
+                ),
+            ),
+        )
+        return F.when(F.size(part["vector"]) > 0, F.get(F.sort_array(found, asc=False), F.lit(0)))
+
+    return _bound(F.struct(weigh.alias("vector"), versions.alias("versions")), compare)
+
+
+def _parts(text: Column) -> Column:
+    """array<struct<kind, part>>: the lines, sentences and paragraphs of a text that speak of licensing; equal ones once.
+
+    A paragraph is a run of lines that hold letters or digits, so a notice that is wrapped over the lines of a comment is
+    read as one; sentences are those of paragraphs, and go on over line ends.
+    """
+    cue = "|".join(map(re.escape, CUES))
+    speaking = lambda parts: F.filter(parts, lambda x: F.lower(x).rlike(cue))
+
+    def of_paragraphs(paragraphs: Column) -> Column:
+        sentences = speaking(F.flatten(F.transform(paragraphs, lambda p: F.split(p, SENTENCE))))
+        lines = speaking(F.flatten(F.transform(paragraphs, lambda p: F.split(p, LINE))))
+        named = lambda parts, kind: F.transform(parts, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("part")))
+        return _bound(
+            F.struct(lines.alias("lines"), sentences.alias("sentences")),
+            lambda b: F.concat(
+                named(b["lines"], 0),
+                named(F.array_except(b["sentences"], b["lines"]), 1),
+                named(F.array_except(F.array_except(paragraphs, b["sentences"]), b["lines"]), 2),
             ),
         )
-        return F.when(F.size(vector) > 0, F.get(F.sort_array(found, asc=False), F.lit(0)))
 
-    # one-element transform, so that the vector is worked out once
-    return F.get(F.transform(F.array(weigh), compare), F.lit(0))
+    return _bound(speaking(F.split(text, PARAGRAPH)), of_paragraphs)
 
 
 def license_scan(
@@ -141,8 +251,9 @@ def license_scan(
 ) -> DataFrame:
     """(id, path, own_license, cosine, license, inherited_from) of every row.
 
-    own_license: the closest template of the row's lines that speak of licensing (of the whole text, if the path names a
-    licence file), if the cosine is at least ``least``; equal cosines go to the last name in the alphabet. Licence
+    own_license: the closest template of the row's lines, sentences and paragraphs that speak of licensing (of the whole
+    text, if the path names a licence file), if the cosine is at least ``least``; equal cosines go to the last name in the
+    alphabet. A licence of another version than those that the part names is none of its templates. Licence
     files, and texts of which a notice makes up at least ``notice_share``, declare their directory; the highest cosine
     of a directory wins. license: the own one, else that of the nearest directory at or above the row's own that declares
     one; inherited_from is that directory ("" is the root).
@@ -159,12 +270,19 @@ def license_scan(
     for cue in CUES:
         speaking = speaking | F.contains(low, F.lit(cue))
     rows = rows.withColumn("speaks", speaking).withColumn("file", is_file)
-    lines = F.filter(F.split("text", "\r\n|\r|\n"), lambda x: F.lower(x).rlike("|".join(map(re.escape, CUES))))
-    speaks = rows.where("speaks").select("id", "path", "file", F.length("text").alias("long"), F.when(F.col("file"), F.array("text")).otherwise(lines).alias("parts"))
-    found = F.transform("parts", lambda p: F.struct(_best(p, F.col("file"), templates).alias("best"), F.length(p).alias("long")))
+    itself = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("part")))
+    speaks = rows.where("speaks").select("id", "path", "file", F.length("text").alias("long"), F.when(F.col("file"), itself).otherwise(_parts(F.col("text"))).alias("parts"))
+    found = F.transform(
+        "parts", lambda p: F.struct(_best(p["part"], F.col("file"), templates).alias("best"), F.length(p["part"]).alias("long"), p["kind"].alias("kind"))
+    )
     scored = speaks.withColumn("found", F.filter(found, lambda f: f["best"]["cosine"] >= least))
     top = F.get(F.sort_array("found", asc=False), F.lit(0))
-    share = F.aggregate("found", F.lit(0), lambda a, f: a + f["long"]) >= notice_share * F.col("long")
+
+    def held(kind: int) -> Column:
+        return F.aggregate(F.filter("found", lambda f: f["kind"] == kind), F.lit(0), lambda a, f: a + f["long"])
+
+    # a notice counts once, be it a line, a sentence or a paragraph
+    share = F.greatest(held(0), held(1), held(2)) >= notice_share * F.col("long")
     scored = scored.select(
         "id", "path", top["best"]["license"].alias("own"), top["best"]["cosine"].alias("cosine"), (F.col("file") | share).alias("declares")
     )

@@ -1,13 +1,15 @@
 """Main text and license scan."""
 
 import math
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from retailoom.llm.licenses import CUES, TEMPLATES, WORD, license_scan
+from retailoom.llm.licenses import CUES, TEMPLATES, VERSION, WORD, license_scan, version_of_license
 from retailoom.llm.main_text import low_branches, main_text, main_texts, style_rows
 
 NESTED = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
@@ -123,6 +125,8 @@ def slow_cosines(text, whole=False):
         return {w: x / norm for w, x in v.items()} if v else {}
 
     mine = vector(text)
+    versions = {v.removesuffix(".0") for v in re.findall(VERSION, text.lower())}
+    units = [(n, t) for n, t in units if not versions or version_of_license(n) is None or version_of_license(n) in versions]
     return max((round(sum(x * vector(t).get(w, 0) for w, x in mine.items()), 6), name) for name, t in units)
 
 
@@ -164,5 +168,52 @@ def test_cosines_against_brute_force(spark):
                 assert r.own_license is None
 
 
+GPL_NOTICE = """/*
+ * Frobnicate, a program.
+ *
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ */
+int main() {}
+"""
+
+
+def test_notices_of_many_forms(spark):
+    wrapped = GPL_NOTICE.replace(";", ",").replace("software,", "software:")
+    notices = {
+        GPL_NOTICE: "GPL-2.0",
+        GPL_NOTICE.replace("\n", "\r\n"): "GPL-2.0",
+        wrapped.replace("version 2", "version 3"): "GPL-3.0",
+        wrapped.replace("version 2", "version 3").replace("GNU General", "GNU Affero General"): "AGPL-3.0",
+        GPL_NOTICE.replace("General", "Lesser General").replace("version 2", "version 2.1").replace("program", "library"): "LGPL-2.1",
+        "# SPDX-License-Identifier: BSD-2-Clause\nx = 1": "BSD-2-Clause",
+        "# SPDX-License-Identifier: BSD-3-Clause\nx = 1": "BSD-3-Clause",
+        "/*! lib v1.2.3 | (c) Foo Authors | Released under the MIT License */": "MIT",
+        "A page of prose that goes on and on. Released under the MIT License. Then more is said, of other things.": "MIT",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided "
+        "that the above\ncopyright notice and this permission notice appear in all copies.": "ISC",
+        "Licensed under the Eclipse Public License, version 2.0.": "EPL-2.0",
+        "Licensed under the Mozilla Public License, version 2.0.": "MPL-2.0",
+        "Licensed under the Mozilla Public License, version 1.1.": None,
+        "Licensed under CC BY 3.0.": None,
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "We license our cows to graze here.": None,
+    }
+    files = spark.createDataFrame([(n, f"d{n}/f", t) for n, t in enumerate(notices)], "doc_id long, where string, text string")
+    found = {r.doc_id: r.own_license for r in license_scan(files, F.col("where")).collect()}
+    assert [found[n] for n in range(len(notices))] == list(notices.values())
+
+
+def test_a_line_of_a_million_words(spark):
+    rng = random.Random(3)
+    line = " ".join(f"w{rng.randrange(200_000)}" for _ in range(1_000_000)) + " license"
+    files = spark.createDataFrame([(1, "a/b", line), (2, "c/LICENSE", line)], "doc_id long, where string, text string")
+    began = time.monotonic()
+    assert {r.own_license for r in license_scan(files, F.col("where")).collect()} == {None}
+    assert time.monotonic() - began < 120
+
+
 def test_no_files(spark):
     assert license_scan(spark.createDataFrame([], "doc_id long, where string, text string"), F.col("where")).count() == 0
