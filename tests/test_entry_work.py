@@ -36,3 +36,12 @@ def test_csv_queries_need_their_own_table_only(spark, frames, name):
     raw = {table: frames[table]}  # no other table is there to be written
     found = registry.CHECKS[name](Star(raw), spark)
     assert rows_of(found.select(frames[table].columns)) == rows_of(frames[table])
+
+
+def test_facts_of_one_use_are_not_stored_and_rows_move_for_no_month(spark):
+    star = registry.star(spark, "/root/testdata/sf0.001")
+    star.plan("product_total"), star.plan("daily_report"), star["fact_order_detail"]
+    files = star["fact_order_detail"].inputFiles()
+    assert files and not any("/fact_order_detail/" in file for file in files)
+    assert not any("month_key=" in file for name in ("sales", "fact_promotion") for file in star[name].inputFiles())
+    assert any("month_key=" in file for file in star["fact_order"].inputFiles())
