@@ -38,6 +38,27 @@ def test_csv_queries_need_their_own_table_only(spark, frames, name):
     assert rows_of(found.select(frames[table].columns)) == rows_of(frames[table])
 
 
+@pytest.fixture
+def users(spark):
+    rows = [("U1", "a", "男", 30, "X", dt.date(2023, 5, 1)), ("U2", "b", "女", None, "Y", dt.date(2023, 5, 2)), (None, "c", None, None, None, None)]
+    return spark.createDataFrame(rows, "user_id string, user_name string, gender string, age int, city string, register_date date")
+
+
+def test_merged_orders_need_orders_only(spark, frames):
+    raw = {"ods_orders": frames["ods_orders"]}
+    found = registry.CHECKS["merged_orders"](Star(raw), spark)
+    assert rows_of(found.select(raw["ods_orders"].columns)) == rows_of(raw["ods_orders"])
+
+
+@pytest.mark.parametrize("name", ["user_total", "store_total", "sales_monthly"])
+def test_refreshed_totals_of_orders_need_no_lines(spark, frames, users, name):
+    raw = frames | {"ods_users": users}
+    found, expected = registry.CHECKS[f"refreshed_{name}"](Star(raw), spark), Star(raw).plan(name)
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert rows_of(found.select(expected.columns)) == rows_of(expected)
+    assert found.count() > 0
+
+
 def test_facts_of_one_use_are_not_stored_and_rows_move_for_no_month(spark):
     star = registry.star(spark, "/root/testdata/sf0.001")
     star.plan("product_total"), star.plan("daily_report"), star["fact_order_detail"]
