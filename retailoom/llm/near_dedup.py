@@ -12,7 +12,7 @@
 
 A group of many similar texts is never spelled out in pairs. Leader rounds link members of a posting list to its most
 central one, and pairs inside one component are skipped from then on. Texts that still share enough tokens with texts of
-other components are joined by the rarest shingles of their full sets, first with one leader per shingle, then with all
+other components (counted by pairs in short lists, by rows in long ones) are joined by the rarest shingles of their full sets, first with one leader per shingle, then with all
 of other components; this loses no pair of the wanted similarity and lets through few others. A pair of similarity 0.8 agrees in a coordinate with probability 0.64, and in fewer than 6 of
 32 with one in a million; unrelated texts hardly ever agree in any.
 """
@@ -33,6 +33,8 @@ MATCHES = 6
 COLLISIONS = 3
 SKETCH_BITS = 18
 LEADER_ROUNDS = 1
+# pairs are spelled out in posting lists of so many rows at most, where that saves reading sets
+SHORT = 16
 FILTER_BITS = 1 << 23
 
 _SEEDS = mix(np.arange(1, 4 * COORDINATES + 1, dtype=U64))
@@ -113,11 +115,11 @@ def profiles(docs: DataFrame, id_column: str, text_column: str, shingle: int) ->
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
-    """(rows, coordinates) of 64-bit tokens of (coordinate, value)."""
+    """(rows, coordinates) of tokens of (coordinate, value), five bytes each that move."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     values = np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), COORDINATES).astype(U64)
-    return mix(values + (np.arange(1, COORDINATES + 1, dtype=U64) << U64(32)))
+    return values + (np.arange(1, COORDINATES + 1, dtype=U64) << U64(32))
 
 
 def token_sketch(classes: DataFrame, sketch_bits: int) -> np.ndarray:
@@ -128,7 +130,7 @@ def token_sketch(classes: DataFrame, sketch_bits: int) -> np.ndarray:
         for batch in batches:
             if batch.num_rows:
                 tokens = _tokens(batch.column(0)).ravel()
-                total += np.bincount((tokens >> U64(64 - sketch_bits)).astype(np.int64), minlength=len(total))
+                total += np.bincount((mix(tokens) >> U64(64 - sketch_bits)).astype(np.int64), minlength=len(total))
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(total[found])], ["bucket", "n"])
 
@@ -151,7 +153,7 @@ def postings(classes: DataFrame, sketch: np.ndarray, sketch_bits: int, prefix: i
             if not batch.num_rows:
                 continue
             tokens = _tokens(batch.column(2))
-            often = sketch[(tokens >> U64(64 - sketch_bits)).astype(np.int64)].astype(np.int64)
+            often = sketch[(mix(tokens) >> U64(64 - sketch_bits)).astype(np.int64)].astype(np.int64)
             # by frequency, then by token: the same order for every signature
             order = np.lexsort((tokens, often), axis=1)[:, :prefix]
             rare = np.take_along_axis(tokens, order, 1)
@@ -306,14 +308,14 @@ def near_duplicates(
         groups = components(edges, scratch, f"groups-{turn}")
     # texts that still share enough tokens with texts of other components
     members = _with_group(left, groups)
-    mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-    ids = members.join(mixed, "token").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COLLISIONS).select("id")
+    mixed = members.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
+    ids = scratch.settle(_open(scratch.settle(members.join(mixed.select("token", "c"), "token"), "mixed"), percent), "open-ids")
     wanted = scratch.settle(classes.join(ids, "id").select("id", "d1"), "open")
     sets = scratch.settle(_shingle_sets(docs, id_column, text_column, shingle, wanted), "open-sets")
     bits = scratch.settle(bitmaps(sets), "bitmaps")
     prefixes = scratch.settle(set_prefixes(sets, sketch_bits, percent), "prefixes")
     often = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    central = prefixes.join(often, "token").groupBy("id").agg(F.sum("c").alias("central"))
+    central = prefixes.join(often, "token").groupBy("id").agg(F.sum("c").alias("central")).join(ids, "id")
     prefixes = scratch.settle(prefixes.join(often, "token").join(central, "id").select("token", "id", "n", "central", "place"), "rare")
     # first to the leaders of rare shingles, which are the roots of groups within groups; then what is left
     for name, candidates in (("leaders", _leader_pairs), ("others", _other_pairs)):
@@ -336,29 +338,50 @@ def near_duplicates(
     )
 
 
+def _open(members: DataFrame, percent: int) -> DataFrame:
+    """Ids that may share enough tokens with one of another component; ``members`` are rows of lists of several, c long.
+
+    Pairs are counted in short lists, which hold nearly all that unrelated texts share by chance, one here, one there. A
+    long list counts for each of its members whomever it shares it with, so no pair with enough tokens is lost.
+    """
+    short = members.where(F.col("c") <= SHORT)
+    one = short.select("token", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
+    other = short.select("token", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
+    pairs = one.join(other, "token").where("a < b and ac <> bc").where(_alike("an", "bn", percent))
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"), "m").groupBy("id").agg(F.max("m").alias("m"))
+    long_ = members.where(F.col("c") > SHORT).groupBy("id").agg(F.count(F.lit(1)).alias("m"))
+    enough = ends.unionByName(long_).groupBy("id").agg(F.sum("m").alias("m"))
+    return enough.where(F.col("m") >= COLLISIONS).select("id")
+
+
 def _shingle_sets(docs: DataFrame, id_column: str, text_column: str, shingle: int, wanted: DataFrame) -> DataFrame:
-    """(id, shingles) of the stored classes (id, d1); texts are read again and filtered where they are, not shuffled."""
+    """(id, shingles) of the stored classes (id, d1); texts are read again and filtered where they are, not shuffled.
+
+    Two filters of fixed size, over ids and over ids with their texts' digests, let a few other rows through. Each is a
+    set of the row's own id, so a link of it is one of that id; who makes new pairs of them keeps to the wanted ids.
+    """
     places = bitmap(wanted, F.xxhash64("id"), FILTER_BITS)
+    texts = bitmap(wanted, F.xxhash64("id").bitwiseXOR(F.col("d1")), FILTER_BITS)
 
     def build(batches):
         for batch in batches:
-            mask = in_bitmap(places, batch.column(2).to_numpy(zero_copy_only=False))
+            h = batch.column(2).to_numpy(zero_copy_only=False)
+            mask = in_bitmap(places, h)
             if not mask.any():
                 continue
-            mask = pa.array(mask)
+            h, mask = h[mask], pa.array(mask)
             ids = batch.column(0).filter(mask)
             for first, flat, bounds in _sets(batch.column(1).filter(mask), shingle):
                 d1, _ = _digests(flat, bounds)
-                raw = flat.tobytes()
-                sets = [raw[8 * a : 8 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.record_batch(
-                    [ids.slice(first, len(sets)), pa.array(signed(d1)), pa.array(sets, pa.binary())], ["id", "d1", "shingles"]
-                )
+                last = first + len(d1)
+                theirs = np.flatnonzero(in_bitmap(texts, h[first:last] ^ signed(d1)))
+                sets = [flat[bounds[i] : bounds[i + 1]].tobytes() for i in theirs]
+                yield pa.record_batch([ids.slice(first, last - first).take(pa.array(theirs)), pa.array(sets, pa.binary())], ["id", "shingles"])
 
     own = F.col(id_column).cast("long")
     rows = docs.where(own.isNotNull()).select(own.alias("id"), F.col(text_column).alias("text"), F.xxhash64(own).alias("h"))
-    built = rows.mapInArrow(build, "id long, d1 long, shingles binary")
-    return built.join(wanted, ["id", "d1"]).select("id", "shingles")
+    return rows.mapInArrow(build, "id long, shingles binary")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

@@ -80,9 +80,9 @@ def bitmap(frame: DataFrame, hashed: Column, bits: int) -> np.ndarray:
         .groupBy("word")
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("set"))
     )
+    rows = words.toArrow()
     out = np.zeros(bits // 64, np.int64)
-    for word, value in words.collect():
-        out[word] = value
+    out[rows["word"].to_numpy()] = rows["set"].to_numpy()
     return out.view(np.uint64)
 
 

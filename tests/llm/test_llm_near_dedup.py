@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from retailoom.llm.graph import components, joined_components
-from retailoom.llm.near_dedup import bitmaps, near_duplicates, possible
+from retailoom.llm.near_dedup import SHORT, _open, _shingle_sets, bitmaps, near_duplicates, possible, profiles
 from retailoom.llm.store import Scratch
 
 SCHEMA = "doc_id long, text string, id long, token string, component string"
@@ -136,3 +136,34 @@ def test_components(spark):
     frame = spark.createDataFrame(edges + star, "a long, b long")
     found = {r.id: r.component for r in components(frame, Scratch(spark, "t")).collect()}
     assert found == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7} | dict.fromkeys((20, 21, 30, 40, 50, 60), 20) | dict.fromkeys(range(100, 160), 100)
+
+
+def test_texts_are_open_for_partners_that_share_enough(spark):
+    rows, token = [], 0
+
+    def listed(*ids, component=None):
+        nonlocal token
+        token += 1
+        rows.extend((token, i, 100, component or i, len(ids)) for i in ids)
+
+    for partner in (2, 3, 4):  # three lists with three partners: no pair
+        listed(1, partner)
+    for _ in range(3):
+        listed(11, 12)
+        listed(21, 22, component=21)  # linked already
+    for _ in range(2):
+        listed(31, 32)
+    listed(31, *range(200, 200 + SHORT))  # not with 32, but a long list isn't spelled out
+    for _ in range(2):
+        listed(*range(300, 300 + SHORT + 1))
+    members = spark.createDataFrame(rows, "token long, id long, n long, component long, c long")
+    assert {r.id for r in _open(members, 80).collect()} == {11, 12, 31}
+
+
+def test_sets_are_built_where_the_texts_are(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (1, "other words here"), (2, "e f g h"), (3, "a b c d"), (None, "a b c d")], "doc_id long, text string")
+    own = {r.id: r.d1 for r in profiles(docs.where("text like '% % % %'"), "doc_id", "text", 2).where("id is not null").collect()}
+    wanted = spark.createDataFrame([(i, own[i]) for i in (1, 2)], "id long, d1 long")
+    sets = _shingle_sets(docs, "doc_id", "text", 2, wanted)
+    assert "Exchange" not in sets._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, len(r.shingles) // 8) for r in sets.collect()) == [(1, 3), (2, 3)]
