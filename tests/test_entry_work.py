@@ -8,6 +8,7 @@ from conftest import rows_of
 
 import __spark_entry__ as registry
 from retailoom.plans.star import Star
+from retailoom.sources.tables import TableStore
 
 STORES = "store_id string, store_name string, platform string, open_date date"
 ORDERS = (
@@ -66,3 +67,19 @@ def test_facts_of_one_use_are_not_stored_and_rows_move_for_no_month(spark):
     assert files and not any("/fact_order_detail/" in file for file in files)
     assert not any("month_key=" in file for name in ("sales", "fact_promotion") for file in star[name].inputFiles())
     assert any("month_key=" in file for file in star["fact_order"].inputFiles())
+
+
+def test_lines_are_not_moved_to_the_orders_of_a_day(spark, frames, tmp_path):
+    days = [(f"O{n}", "U1", "S1", "P", dt.datetime(2024, 1, 1 + (n == 1999)), "已完成", *[None] * 2, *[Decimal(1)] * 5) for n in range(2000)]
+    lines = spark.createDataFrame([(f"D{n}", f"O{n % 2000}") for n in range(4000)] + [("D", None)], "order_detail_id string, order_id string")
+    raw = {"ods_orders": spark.createDataFrame(days, ORDERS), "ods_order_details": lines}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")  # one order is below it, all orders and lines are not
+    try:
+        first, then = registry._deliveries(Star(raw), list(raw), TableStore(spark, str(tmp_path)))
+        assert "Exchange hashpartitioning" not in first["ods_order_details"]._jdf.queryExecution().executedPlan().toString()
+        assert all(frame.inputFiles() for frame in then.values())
+        assert {r.order_detail_id for r in then["ods_order_details"].collect()} == {"D1999", "D3999"}
+        assert first["ods_order_details"].count() == 3999
+        assert (first["ods_orders"].count(), then["ods_orders"].count()) == (1999, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
