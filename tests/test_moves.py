@@ -7,8 +7,9 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from retailoom.operators import reports
-from retailoom.plans.star import Star
+from retailoom.plans.star import FACTS, Star
 from retailoom.plans.warehouse import Warehouse
 
 DAY = 20240102
@@ -82,6 +83,48 @@ def test_rows_of_the_daily_report_move_once(stored, moves):
     assert len(moves(report)) == 3  # the rows, and the products twice: their keys, their names
 
 
+def test_rows_of_the_traffic_report_move_twice(stored, moves):
+    s = stored | {"dim_store": F.broadcast(stored["dim_store"])}
+    report = reports.traffic_report(
+        reports.paid_traffic_by_channel(s["fact_promotion"], s["dim_store"], s["dim_product"]),
+        reports.natural_traffic_by_channel(s["ods_product_traffic"], s["dim_store"], s["dim_product"]),
+        reports.spu_sales(s["sales"], s["dim_store"], s["dim_product"]),
+    )
+    found = moves(report)
+    reused = [line for line in found if "ReusedExchange" in line]
+    # to their products and to their SPU, store and day, for each of three kinds of rows; and the products to each kind
+    assert len(found) - len(reused) == 9
+    assert len(reused) == 1  # sales are worked out once for both kinds of traffic
+
+
+def test_traffic_report_by_brute_force(raw):
+    """Sums per name of store and SPU, worked out row by row."""
+    names = {r.store_id: r.store_name for r in raw["ods_stores"].collect()}
+    spus = {r.sku_id: (r.product_id, r.category_l1, r.category_l2) for r in raw["ods_products"].collect()}
+    orders = {r.order_id: r for r in raw["ods_orders"].collect()}
+    sold, seen = {}, {}
+    for line in raw["ods_order_details"].collect():
+        order = orders.get(line.order_id)
+        if order and line.sku_id in spus and order.traffic_source and order.order_status in ("已完成", "已发货"):
+            flow = "付费" if order.traffic_source == "付费推广" else "自然"
+            key = order.order_time.date(), order.platform, names[order.store_id], spus[line.sku_id][0], flow
+            quantity, amount = sold.get(key, (0, 0))
+            sold[key] = quantity + line.quantity, amount + line.amount
+    for name, flow in (("ods_promotion", "付费"), ("ods_product_traffic", "自然")):
+        for r in (r.asDict() for r in raw[name].collect()):
+            if r["sku_id"] in spus:
+                key = r["date"], r["platform"], names[r["store_id"]], *spus[r["sku_id"]], flow
+                sums = seen.setdefault(key, [0, 0, 0, 0, D(0)])
+                for i, c in enumerate(("impressions", "clicks", "favorites", "add_to_cart", "cost")):
+                    sums[i] += r.get(c, 0)
+    keys = ["date", "platform", "store_name", "product_id", "category_l1", "category_l2", "flow_type"]
+    expected = {k: (*v, *sold.get((*k[:4], k[6]), (0, 0))) for k, v in seen.items()}
+    measures = ["impressions", "clicks", "favorites", "add_to_cart", "cost", "sales_quantity", "sales_amount"]
+    found = Star(raw).plan("traffic_report").select(*keys, *measures).collect()
+    assert len(found) == len(expected) and any(v[-2] for v in expected.values()) and not all(v[-2] for v in expected.values())
+    assert {tuple(r[: len(keys)]): tuple(r[len(keys) :]) for r in found} == expected
+
+
 def test_a_refresh_of_one_table_stores_no_facts_of_one_use(spark, raw, tmp_path):
     one, all_facts = Warehouse(spark, raw, str(tmp_path / "one")), Warehouse(spark, raw, str(tmp_path / "all"))
     one.refresh(["daily_report"])
@@ -98,3 +141,15 @@ def test_a_refresh_of_one_table_stores_no_facts_of_one_use(spark, raw, tmp_path)
         assert after == rows_of(Star(later).plan("daily_report")) and len(after) == len(before) and after != before
     files = [f for f in one.store.read("daily_report").inputFiles() if "_version=2" not in f]
     assert all("month_key=202401" in f for f in files)
+
+
+def test_the_traffic_report_stores_no_facts(spark, monkeypatch):
+    registry.forget()
+    written = []
+    replace = registry.TableStore.replace
+    monkeypatch.setattr(registry.TableStore, "replace", lambda self, name, *a, **k: written.append(name) or replace(self, name, *a, **k))
+    found = registry.queries()["traffic_report"](spark, "/root/testdata/sf0.001")
+    assert {*written} == {"ods_orders", "dim_user", "dim_store", "dim_product"} and not {*written} & {*FACTS}
+    star = registry.star(spark, "/root/testdata/sf0.001")
+    assert rows_of(found) == rows_of(star.plan("traffic_report"))
+    assert {"sales", "fact_order", "fact_promotion"} <= {*written}  # others still store them
